@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from .skew import SMALL_TABLE_ROWS, join_small
+from .skew import SMALL_TABLE_ROWS, fetch_if_small
 
 SCORE_DIGITS = 10
 QUERY_BLOCK = 2048
@@ -74,8 +74,8 @@ def _best_per_row(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, n
     return rows[keep], cols[keep], vals[keep]
 
 
-def _block_counts(df: DataFrame, keys: list[str], rows: int, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+def _blocks(rows: Column, per_block: int) -> Column:
+    return F.ceil(rows / per_block).cast("int")
 
 
 def _block_of(id_column: str, blocks: str) -> Column:
@@ -107,18 +107,24 @@ def block_topk(
     """
     q = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("_q"), *keys, F.col(vector).alias("_v"))
     c = catalogue.where(F.col(vector).isNotNull()).select(F.col(product_id).alias("_p"), *keys, F.col(vector).alias("_v"))
-    sizes = _block_counts(q, keys, query_block, "_nq").join(
-        _block_counts(c, keys, catalogue_block, "_nc"), keys
+    one, none = F.lit(1), F.lit(0)
+    rows = q.select(*keys, one.alias("_q"), none.alias("_c")).unionByName(c.select(*keys, none.alias("_q"), one.alias("_c")))
+    # Keys that one side lacks get no block, so their rows leave before the shuffle.
+    sizes = fetch_if_small(
+        rows.groupBy(*keys)
+        .agg(_blocks(F.sum("_q"), query_block).alias("_nq"), _blocks(F.sum("_c"), catalogue_block).alias("_nc"))
+        .where((F.col("_nq") > 0) & (F.col("_nc") > 0)),
+        small_limit,
     )
     grid = [*keys, "_qb", "_cb"]
     q = (
-        join_small(q, sizes, keys, small_limit)
+        q.join(sizes, keys)
         .withColumn("_qb", _block_of("_q", "_nq"))
         .withColumn("_cb", _every("_nc"))
         .select("_q", *grid, "_v")
     )
     c = (
-        join_small(c, sizes, keys, small_limit)
+        c.join(sizes, keys)
         .withColumn("_cb", _block_of("_p", "_nc"))
         .withColumn("_qb", _every("_nq"))
         .select("_p", *grid, "_v")
@@ -189,9 +195,8 @@ def block_duplicates(
     so a large set of copies costs no more than any other rows.
     """
     v = vectors.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("_p"), *keys, F.col(vector).alias("_v"))
-    blocked = join_small(v, _block_counts(v, keys, block, "_n"), keys, small_limit).withColumn(
-        "_b", _block_of("_p", "_n")
-    )
+    sizes = v.groupBy(*keys).agg(_blocks(F.count(F.lit(1)), block).alias("_n"))
+    blocked = v.join(fetch_if_small(sizes, small_limit), keys).withColumn("_b", _block_of("_p", "_n"))
     later = F.explode(F.sequence(F.col("_b"), F.col("_n") - 1))
     earlier = F.explode(F.sequence(F.lit(0), F.col("_b")))
     # Both sides descend from one table, so each gets column names of its own.

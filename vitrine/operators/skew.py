@@ -9,18 +9,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SMALL_TABLE_ROWS = 10_000
 
 
-def join_small(left: DataFrame, small: DataFrame, keys: list[str], limit: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Inner join with a per-key side table that is usually tiny.
+def fetch_if_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """A per-key side table, ready to join: broadcast when it is tiny.
 
-    At most ``limit + 1`` rows are fetched to check its size. Within the bound
-    the side is broadcast, so the big side is not shuffled; beyond it the join
-    is left to the optimizer (shuffled, with adaptive skew splitting).
+    At most ``limit + 1`` rows are fetched to check its size. Within the bound the
+    rows come back as a local table marked for broadcast, so joining them does
+    not shuffle the other side; beyond it the join is left to the optimizer
+    (shuffled, with adaptive skew splitting).
     """
-    rows = small.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        local = left.sparkSession.createDataFrame(rows, small.schema)
-        return left.join(F.broadcast(local), keys)
-    return left.join(small, keys)
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def rank_in_groups(

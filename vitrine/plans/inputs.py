@@ -7,6 +7,7 @@ Every input exists twice: as a DataFrame here and as a DuckDB query in
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import monitor
 
@@ -26,12 +27,16 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        # The schema is inferred once; every use still reads the table afresh.
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(self.path(name)).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
     def products(self) -> DataFrame:
         return self.raw("part").selectExpr(

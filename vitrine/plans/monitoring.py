@@ -243,8 +243,8 @@ def _items(i):
 
 
 def _snapshot(i, early: bool):
-    """Inputs of one period: labels below and from 5, sales before and since 1995."""
-    sales = i.raw("orders").selectExpr("o_orderkey AS post_id", "o_orderdate < timestamp_ntz'1995-01-01 00:00:00' AS early")
+    """Inputs of one period: labels below and from 5, sales before and since late April 1998."""
+    sales = i.raw("orders").selectExpr("o_orderkey AS post_id", "o_orderdate < timestamp_ntz'1998-04-25 00:00:00' AS early")
     posts = sales.where(F.col("early") == early).select("post_id")
     boxes = i.detections().join(posts, "post_id", "left_semi")
     halves = "label < 5" if early else "label >= 5"
@@ -257,7 +257,7 @@ def _snapshot(i, early: bool):
 def _snapshot_sql(early: bool) -> str:
     half = "label < 5" if early else "label >= 5"
     region = "JP" if early else "KR"
-    cond = "o_orderdate < TIMESTAMP '1995-01-01'" if early else "o_orderdate >= TIMESTAMP '1995-01-01'"
+    cond = "o_orderdate < TIMESTAMP '1998-04-25'" if early else "o_orderdate >= TIMESTAMP '1998-04-25'"
     boxes = f"(SELECT d.* FROM f_detections d WHERE post_id IN (SELECT o_orderkey FROM orders WHERE {cond}))"
     return f"""
 SELECT 'category_counts' AS signal, category AS key, count(*)::DOUBLE AS value FROM f_products WHERE region = '{region}' GROUP BY 2
