@@ -86,8 +86,8 @@ def mean_vector(df: DataFrame, vector: str = "embedding", by: list[str] | None =
     rows = df.where(F.col(vector).isNotNull()).withColumn(
         "_vec", array_to_vector(as_double(vector))
     )
-    grouped = rows.groupBy(*by) if by else rows.groupBy()
-    mean = grouped.agg(Summarizer.mean(F.col("_vec")).alias("_mean"), F.count(F.lit(1)).alias("n_vectors"))
-    return mean.where(F.col("n_vectors") > 0).select(
-        *(by or []), vector_to_array("_mean").alias("centroid"), "n_vectors"
+    # A constant key instead of none, so that no rows give no mean rather than an error.
+    mean = rows.groupBy(*(by or [F.lit(1).alias("_all")])).agg(
+        Summarizer.mean(F.col("_vec")).alias("_mean"), F.count(F.lit(1)).alias("n_vectors")
     )
+    return mean.select(*(by or []), vector_to_array("_mean").alias("centroid"), "n_vectors")

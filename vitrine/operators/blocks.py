@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from .skew import SMALL_TABLE_ROWS, fetch_if_small
 
-SCORE_DIGITS = 10
+SCORE_DIGITS = 12
 QUERY_BLOCK = 2048
 CATALOGUE_BLOCK = 8192
 _TILE_CELLS = 4_000_000
@@ -105,8 +105,11 @@ def block_topk(
     words). Rows without a vector take no part. Ids must be unique on each side
     of a key. ``merge_topk`` turns the result into the final ranking.
     """
-    q = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("_q"), *keys, F.col(vector).alias("_v"))
-    c = catalogue.where(F.col(vector).isNotNull()).select(F.col(product_id).alias("_p"), *keys, F.col(vector).alias("_v"))
+    # Aliases give both sides columns of their own, even when they stem from one table.
+    named = [F.col(k).alias(f"_key_{k}") for k in keys]
+    q = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("_q"), *named, F.col(vector).alias("_v"))
+    c = catalogue.where(F.col(vector).isNotNull()).select(F.col(product_id).alias("_p"), *named, F.col(vector).alias("_v"))
+    keys = [f"_key_{k}" for k in keys]
     one, none = F.lit(1), F.lit(0)
     rows = q.select(*keys, one.alias("_q"), none.alias("_c")).unionByName(c.select(*keys, none.alias("_q"), one.alias("_c")))
     # Keys that one side lacks get no block, so their rows leave before the shuffle.

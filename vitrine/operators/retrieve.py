@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..functions import vectors as V
-from .blocks import block_topk, merge_topk
+from .blocks import SCORE_DIGITS, block_topk, merge_topk
 
 
 def latest_vectors(embeddings: DataFrame, version: str = "embedded_at", id_column: str = "product_id") -> DataFrame:
@@ -69,7 +69,7 @@ def _rerank(candidates: DataFrame, queries: DataFrame, catalogue: DataFrame, k:
         .select("query_id", "product_id", V.dot("_q", "_p").alias("vector_score"), "_business")
         .select(
             "query_id", "product_id", "vector_score",
-            F.round((1 - weight) * F.col("vector_score") + weight * F.col("_business"), 10).alias("score"),
+            F.round((1 - weight) * F.col("vector_score") + weight * F.col("_business"), SCORE_DIGITS).alias("score"),
         )
     )
     return merge_topk(scored, k, ["vector_score"])

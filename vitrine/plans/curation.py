@@ -13,7 +13,7 @@ from .registry import query, rounded
 _JOINED = """
 SELECT d.detection_id AS pair_id, p.product_id, d.post_id, p.image_path AS positive_path, d.category, d.score, d.area_frac,
        count(*) OVER (PARTITION BY d.post_id, d.category) AS n
-FROM f_detections d JOIN f_post_products l USING (post_id) JOIN f_products p ON p.product_id = l.product_id AND p.category = d.category
+FROM f_detections d JOIN f_linked_products p ON p.post_id = d.post_id AND p.category = d.category
 WHERE d.score >= 0.45 AND p.license_ok"""
 _PAIR = "pair_id, product_id, post_id, positive_path, category"
 _PAIR_SCORES = "round(score, 6) AS score, round(area_frac, 6) AS area_frac"
@@ -48,7 +48,7 @@ def ambiguous_pairs(i):
     """
 WITH allv AS (SELECT product_id, category, embedding FROM f_catalogue UNION ALL SELECT product_id, category, embedding FROM f_near_copies)
 SELECT DISTINCT b.product_id AS drop_id FROM allv a JOIN allv b ON a.category = b.category AND a.product_id < b.product_id
-WHERE round(list_cosine_similarity(a.embedding, b.embedding), 10) >= 0.97""",
+WHERE round(list_cosine_similarity(a.embedding, b.embedding), 12) >= 0.97""",
 )
 def near_dup(i):
     every = i.catalogue().select("product_id", "category", "embedding").unionByName(i.near_copies())
@@ -60,7 +60,7 @@ _SUPPLIED = """
 supplied AS (SELECT product_id * 2 AS product_id, category, embedding FROM f_catalogue
              UNION ALL SELECT (product_id - 1000000) * 2 + 1, category, embedding FROM f_near_copies),
 dropped AS (SELECT DISTINCT b.product_id FROM supplied a JOIN supplied b ON a.category = b.category AND a.product_id < b.product_id
-            WHERE round(list_cosine_similarity(a.embedding, b.embedding), 10) >= 0.97)"""
+            WHERE round(list_cosine_similarity(a.embedding, b.embedding), 12) >= 0.97)"""
 
 
 @query(

@@ -222,6 +222,7 @@ SELECT p_partkey AS product_id, {_category('p_partkey')} AS category, p_brand AS
        CASE WHEN p_partkey % 5 = 0 THEN concat('img/', p_partkey, '.jpg') ELSE concat('marker://run/', p_partkey) END AS image_path
 FROM part""",
     "f_post_products": "SELECT DISTINCT l_orderkey AS post_id, l_partkey AS product_id FROM lineitem",
+    "f_linked_products": "SELECT l.post_id, p.* FROM f_post_products l JOIN f_products p USING (product_id)",
     "f_detections": f"""
 SELECT concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS detection_id, l_orderkey AS post_id,
        CASE WHEN (l_orderkey + l_linenumber) % 6 = 0 THEN 'shoes' ELSE {_category('l_partkey')} END AS category,

@@ -29,7 +29,8 @@ def with_inputs(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql.strip()
-    ctes = ",\n".join(f"{n} AS ({INPUT_SQL[n].strip()})" for n in needed)
+    # Materialized, so that a check cannot multiply an input by joining it late.
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({INPUT_SQL[n].strip()})" for n in needed)
     body = sql.strip()
     if body.startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"

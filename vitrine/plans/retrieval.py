@@ -22,7 +22,7 @@ def ranking_sql(
     return f"""
 SELECT query_id, rank, product_id, score FROM (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, product_id))::INT AS rank
-  FROM (SELECT {qid} AS query_id, p.product_id, round({score}, 10) AS score
+  FROM (SELECT {qid} AS query_id, p.product_id, round({score}, 12) AS score
         FROM {queries} q JOIN {catalogue} p {on} WHERE {where}) s) r
 WHERE rank <= {k}"""
 
@@ -37,7 +37,7 @@ def rerank_sql(candidates: str, k: int, weight: float) -> str:
 SELECT query_id, rank, product_id, score, vector_score FROM (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, product_id))::INT AS rank FROM (
     SELECT c.query_id, c.product_id, list_cosine_similarity(q.embedding, p.embedding) AS vector_score,
-           round((1 - {w}) * list_cosine_similarity(q.embedding, p.embedding) + {w} * p.business_score, 10) AS score
+           round((1 - {w}) * list_cosine_similarity(q.embedding, p.embedding) + {w} * p.business_score, 12) AS score
     FROM ({candidates}) c JOIN f_queries q USING (query_id) JOIN f_catalogue p USING (product_id)) s) r
 WHERE rank <= {k}"""
 
