@@ -18,8 +18,9 @@ from pyspark.sql.types import StructType
 from .skew import SMALL_TABLE_ROWS, fetch_if_small
 
 SCORE_DIGITS = 12
-QUERY_BLOCK = 2048
-CATALOGUE_BLOCK = 8192
+QUERY_BLOCK = 2_048
+CATALOGUE_BLOCK = 16_384
+DUPLICATE_BLOCK = 32_768
 _TILE_CELLS = 4_000_000
 
 
@@ -188,7 +189,7 @@ def block_duplicates(
     keys: list[str],
     id_column: str = "product_id",
     vector: str = "embedding",
-    block: int = CATALOGUE_BLOCK,
+    block: int = DUPLICATE_BLOCK,
     small_limit: int = SMALL_TABLE_ROWS,
 ) -> DataFrame:
     """Ids that have a lower id within cosine ``threshold`` under the same keys.
@@ -198,7 +199,9 @@ def block_duplicates(
     so a large set of copies costs no more than any other rows.
     """
     v = vectors.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("_p"), *keys, F.col(vector).alias("_v"))
-    sizes = v.groupBy(*keys).agg(_blocks(F.count(F.lit(1)), block).alias("_n"))
+    # A row alone under its keys has no partner and leaves before the shuffle.
+    rows = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1)
+    sizes = rows.select(*keys, _blocks(F.col("_rows"), block).alias("_n"))
     blocked = v.join(fetch_if_small(sizes, small_limit), keys).withColumn("_b", _block_of("_p", "_n"))
     later = F.explode(F.sequence(F.col("_b"), F.col("_n") - 1))
     earlier = F.explode(F.sequence(F.lit(0), F.col("_b")))

@@ -5,7 +5,7 @@ Counts are ``(key, n)`` tables. A distance over nothing measured is NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import vectors as V
 from ..functions.scalars import delta_verdict, histogram_bin, js_verdict, psi_verdict
@@ -122,56 +122,64 @@ def snapshot_payload(snap: DataFrame) -> DataFrame:
     )
 
 
-def _signal(df: DataFrame, signal: str, metric: str, value: str, digits: int, verdict: Column, hint: str) -> DataFrame:
-    return df.select(
-        F.lit(signal).alias("signal"), F.lit(metric).alias("metric"), F.round(value, digits).alias("value"),
-        verdict.alias("verdict"), F.lit(hint).alias("hint"),
-    )
+# What each stored signal is reported as, how it is measured and what a move suggests.
+_REPORTED = [
+    ("category_counts", "category_mix", "PSI", 4, "the mix of garment types has changed"),
+    ("size_band_counts", "query_size_bands", "PSI", 4, "garments fill a different share of the photo"),
+    ("confidence_hist", "detector_confidence", "JS distance", 4, "the detector is more or less sure than before"),
+    ("fallback_rate", "detector_fallback_rate", "absolute change", 4, "share of images in which nothing was found"),
+    ("mean_confidence", "mean_confidence", "absolute change", 4, "mean detector confidence"),
+    ("centroid", "query_embedding_centroid", "cosine distance", 5, "queries look different on average"),
+]
+
 
+def drift_report(previous: DataFrame, current: DataFrame, epsilon: float = 1e-6) -> DataFrame:
+    """One row per signal both snapshots measured; a signal one side lacks has no row.
 
-def drift_report(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """One row per signal both snapshots measured; a signal one side lacks has no row."""
-    def counts(snap: DataFrame, signal: str) -> DataFrame:
-        return snap.where(F.col("signal") == signal).select("key", F.col("value").cast("bigint").alias("n"))
-
-    def measured(signal: str) -> Column:
-        on = [s.where(F.col("signal") == signal).agg(F.coalesce(F.sum(F.abs("value")), F.lit(0.0)).alias("v")) for s in (previous, current)]
-        return (on[0].scalar() > 0) & (on[1].scalar() > 0)
-
-    def present(signal: str) -> Column:
-        on = [s.where(F.col("signal") == signal).agg(F.count("value").alias("v")) for s in (previous, current)]
-        return (on[0].scalar() > 0) & (on[1].scalar() > 0)
-
-    out = []
-    for source, signal, hint in [
-        ("category_counts", "category_mix", "the mix of garment types has changed"),
-        ("size_band_counts", "query_size_bands", "garments fill a different share of the photo"),
-    ]:
-        value = psi(counts(previous, source), counts(current, source)).where(measured(source))
-        out.append(_signal(value, signal, "PSI", "psi", 4, F.col("verdict"), hint))
-    js = js_distance(counts(previous, "confidence_hist"), counts(current, "confidence_hist")).where(measured("confidence_hist"))
-    out.append(_signal(js, "detector_confidence", "JS distance", "js", 4, F.col("verdict"), "the detector is more or less sure than before"))
-    for source, signal, warn, hint in [
-        ("fallback_rate", "detector_fallback_rate", 0.10, "share of images in which nothing was found"),
-        ("mean_confidence", "mean_confidence", 0.05, "mean detector confidence"),
-    ]:
-        of = lambda s: s.where(F.col("signal") == source).agg(F.max("value").alias("v"))
-        delta = of(current).select((F.col("v") - of(previous).scalar()).alias("delta")).where(present(source))
-        out.append(_signal(delta, signal, "absolute change", "delta", 4, delta_verdict("delta", warn), hint))
-
-    def centroid(snap: DataFrame) -> DataFrame:
-        # One row per vector component, so the array is as long as the dimension.
-        parts = F.array_sort(F.collect_list(F.struct(F.col("key").cast("int").alias("i"), "value")))
-        return snap.where(F.col("signal") == "centroid").agg(parts["value"].alias("c"))
-
-    shift = (
-        centroid(previous).select("c", centroid(current).scalar().alias("d"))
-        .where((F.size("c") > 0) & (F.size("d") > 0))
-        .select((1 - V.cosine("c", "d")).alias("shift"))
-        .where(F.col("shift").isNotNull())
+    Both snapshots are aligned once on (signal, key) and every measure is folded
+    per signal in the same pass. A snapshot holds a few hundred rows by design.
+    """
+    keys = ["signal", "key"]
+    nothing = F.lit(None).cast("double")
+    aligned = (
+        previous.select(*keys, F.col("value").alias("b"), nothing.alias("a"))
+        .unionByName(current.select(*keys, nothing.alias("b"), F.col("value").alias("a")))
+        .groupBy(*keys)
+        .agg(F.max("b").alias("b"), F.max("a").alias("a"))
+    )
+    of_signal = Window.partitionBy("signal")
+    shares = aligned.select(
+        "*",
+        *[F.coalesce(F.col(s) / F.nullif(F.sum(s).over(of_signal), F.lit(0.0)), F.lit(0.0)).alias(f"{s}_share") for s in "ba"],
     )
-    out.append(_signal(shift, "query_embedding_centroid", "cosine distance", "shift", 5, delta_verdict("shift", 0.05), "queries look different on average"))
-    report = out[0]
-    for part in out[1:]:
-        report = report.unionByName(part)
-    return report
+    e, x = F.greatest("b_share", F.lit(epsilon)), F.greatest("a_share", F.lit(epsilon))
+    mid = F.greatest((F.col("b_share") + F.col("a_share")) / 2, F.lit(1e-12))
+    kl = [F.sum(F.when(F.col(f"{s}_share") > 0, F.col(f"{s}_share") * F.log2(F.col(f"{s}_share") / mid)).otherwise(0.0)) for s in "ba"]
+    measured = (
+        shares.groupBy("signal")
+        .agg(
+            F.sum((x - e) * F.log(x / e)).alias("PSI"),
+            F.sqrt(F.greatest((kl[0] + kl[1]) / 2, F.lit(0.0))).alias("JS distance"),
+            (F.max("a") - F.max("b")).alias("absolute change"),
+            (1 - F.sum(F.col("a") * F.col("b")) / F.nullif(F.sqrt(F.sum(F.col("a") * F.col("a")) * F.sum(F.col("b") * F.col("b"))), F.lit(0.0))).alias("cosine distance"),
+            F.count("b").alias("nb"),
+            F.count("a").alias("na"),
+        )
+        .where((F.col("nb") > 0) & (F.col("na") > 0))
+    )
+    verdicts = {
+        "PSI": psi_verdict("PSI"),
+        "JS distance": js_verdict("JS distance"),
+        "detector_fallback_rate": delta_verdict("absolute change", 0.10),
+        "mean_confidence": delta_verdict("absolute change", 0.05),
+        "cosine distance": delta_verdict("cosine distance", 0.05),
+    }
+    entries = [
+        F.struct(
+            F.lit(source).alias("source"), F.lit(name).alias("signal"), F.lit(metric).alias("metric"),
+            F.round(metric, digits).alias("value"), verdicts.get(name, verdicts.get(metric)).alias("verdict"), F.lit(hint).alias("hint"),
+        )
+        for source, name, metric, digits, hint in _REPORTED
+    ]
+    rows = measured.select(F.col("signal").alias("_of"), F.inline(F.array(*entries)))
+    return rows.where((F.col("_of") == F.col("source")) & F.col("value").isNotNull()).drop("_of", "source")

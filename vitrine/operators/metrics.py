@@ -7,7 +7,7 @@ relevant, or an ideal gain of zero) is NULL and leaves the averages alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 K_VALUES = (1, 5, 10, 20, 50)
 SLICE_DIMENSIONS = ("category", "query_condition", "size_band", "occlusion")
@@ -17,8 +17,8 @@ def metric_names(k_values=K_VALUES) -> list[str]:
     return [f"recall_at_{k}" for k in k_values] + [f"ndcg_at_{k}" for k in k_values] + ["mrr"]
 
 
-def _gain(grade: str, rank: str) -> Column:
-    return F.col(grade) / F.log2(F.col(rank) + 1)
+def _gain(place: str, k: int) -> str:
+    return f"sum(CASE WHEN {place} <= {k} THEN grade / log2({place} + 1) END)"
 
 
 def query_metrics(
@@ -37,8 +37,8 @@ def query_metrics(
         .groupBy("query_id")
         .agg(
             F.min("rank").alias("_first"),
-            *[F.count(F.when(F.col("rank") <= k, 1)).alias(f"_hits_{k}") for k in k_values],
-            *[F.sum(F.when(F.col("rank") <= k, _gain("grade", "rank"))).alias(f"_dcg_{k}") for k in k_values],
+            *[F.expr(f"count(CASE WHEN rank <= {k} THEN 1 END) AS _hits_{k}") for k in k_values],
+            *[F.expr(f"{_gain('rank', k)} AS _dcg_{k}") for k in k_values],
         )
     )
     relevant = judged.groupBy("query_id").agg(F.count(F.lit(1)).alias("_relevant"))
@@ -47,20 +47,15 @@ def query_metrics(
         judged.withColumn("_place", F.row_number().over(by_grade))
         .where(F.col("_place") <= k_max)
         .groupBy("query_id")
-        .agg(*[F.sum(F.when(F.col("_place") <= k, _gain("grade", "_place"))).alias(f"_idcg_{k}") for k in k_values])
+        .agg(*[F.expr(f"{_gain('_place', k)} AS _idcg_{k}") for k in k_values])
     )
     wide = queries.join(hits, "query_id", "left").join(relevant, "query_id", "left").join(ideal, "query_id", "left")
-    recall = [
-        (F.coalesce(F.col(f"_hits_{k}"), F.lit(0)) / F.col("_relevant")).alias(f"recall_at_{k}") for k in k_values
-    ]
-    ndcg = [
-        F.when(
-            F.col(f"_idcg_{k}") > 0, F.coalesce(F.col(f"_dcg_{k}"), F.lit(0.0)) / F.col(f"_idcg_{k}")
-        ).alias(f"ndcg_at_{k}")
-        for k in k_values
-    ]
-    mrr = F.coalesce(1.0 / F.col("_first"), F.lit(0.0)).alias("mrr")
-    return wide.select(*[queries[c] for c in queries.columns], *recall, *ndcg, mrr)
+    return wide.selectExpr(
+        *[f"`{c}`" for c in queries.columns],
+        *[f"coalesce(_hits_{k}, 0) / _relevant AS recall_at_{k}" for k in k_values],
+        *[f"CASE WHEN _idcg_{k} > 0 THEN coalesce(_dcg_{k}, 0) / _idcg_{k} END AS ndcg_at_{k}" for k in k_values],
+        "coalesce(1D / _first, 0D) AS mrr",
+    )
 
 
 def slice_metrics(per_query: DataFrame, dims=SLICE_DIMENSIONS, k_values=K_VALUES) -> DataFrame:
@@ -78,5 +73,5 @@ def slice_metrics(per_query: DataFrame, dims=SLICE_DIMENSIONS, k_values=K_VALUES
         per_query.select(F.inline(F.array(*slices)), *names)
         .where(F.col("slice_value").isNotNull())
         .groupBy("slice_dim", "slice_value")
-        .agg(F.count(F.lit(1)).alias("n_queries"), *[F.avg(m).alias(m) for m in names])
+        .agg(F.count(F.lit(1)).alias("n_queries"), *[F.expr(f"avg({m}) AS {m}") for m in names])
     )

@@ -39,6 +39,9 @@ def clicked_any() -> Column:
 
 
 def since(events: DataFrame, as_of, days: int) -> DataFrame:
+    """Events from midnight ``days`` days before ``as_of``; skips whole day folders if there are any."""
+    if "event_date" in events.columns:
+        events = events.where(F.col("event_date") >= F.date_sub(F.lit(as_of).cast("date"), days))
     return events.where(F.col("event_ts") >= day(as_of, days))
 
 
@@ -104,7 +107,8 @@ def distribution_shift(events: DataFrame, as_of, recent_days: int = 7, base_days
     is_now = t >= day(as_of, recent_days)
     is_base = (t >= day(as_of, base_days)) & (t <= day(as_of, recent_days))
     counts = (
-        events.where(is_now | is_base)
+        since(events, as_of, max(recent_days, base_days))
+        .where(is_now | is_base)
         .groupBy("query_condition")
         .agg(F.count(F.when(is_now, 1)).alias("now"), F.count(F.when(is_base, 1)).alias("base"))
     )

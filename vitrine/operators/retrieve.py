@@ -144,7 +144,9 @@ def binary_rerank(
     return _rerank(recalled, queries, catalogue, final_k, 0.0).drop("vector_score")
 
 
-def _with_buckets(df: DataFrame, id_column: str, dim: int, bits: int, tables: int, probes: int, seed: int) -> DataFrame:
+def with_buckets(
+    df: DataFrame, id_column: str, dim: int, bits: int, tables: int, probes: int = 1, seed: int = 7
+) -> DataFrame:
     """One row per (id, table, probed bucket) of a random-hyperplane hash.
 
     A bucket collects the sign bits of ``bits`` projections. Further probes flip
@@ -182,9 +184,9 @@ def ann_topk(
     catalogue: DataFrame,
     k: int,
     dim: int,
-    bits: int = 4,
+    bits: int = 8,
     tables: int = 8,
-    probes: int = 3,
+    probes: int = 6,
     seed: int = 7,
     in_stock_only: bool = False,
     region: str | None = None,
@@ -193,10 +195,12 @@ def ann_topk(
     """Approximate top-k: candidates share a hash bucket, their scores are exact.
 
     A bucket is one more equi-key of the blocked join, so crowded buckets are cut
-    into blocks like any other hot key. More tables and probes raise recall.
+    into blocks like any other hot key. About ``tables * probes / 2**bits`` of a
+    category is scored per query: add bits as the catalogue grows, and tables or
+    probes for recall (``recall_against`` measures it).
     """
-    c = _with_buckets(metadata_filter(catalogue, in_stock_only, region), "product_id", dim, bits, tables, 1, seed)
-    q = _with_buckets(queries, "query_id", dim, bits, tables, probes, seed)
+    c = with_buckets(metadata_filter(catalogue, in_stock_only, region), "product_id", dim, bits, tables, 1, seed)
+    q = with_buckets(queries, "query_id", dim, bits, tables, probes, seed)
     found = block_topk(q, c, k, ["category", "lsh_table", "lsh_bucket"], **blocks)
     return merge_topk(found.groupBy("query_id", "product_id").agg(F.max("score").alias("score")), k)
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import curate, skew
+from ..functions.scalars import CATEGORIES
+from ..operators import curate, infer, skew
 from ..sources import pairs as pair_source, runs
-from .inputs import AS_OF
+from .inputs import AS_OF, DIM, RUN
 from .registry import query, rounded
 
 # Joined pairs before the ambiguity filter; n is the size of the (post, category) group.
@@ -43,16 +44,24 @@ def ambiguous_pairs(i):
     return curate.ambiguous_groups(i.detections(), i.post_products(), i.products())
 
 
-@query(
-    "near_dup",
-    """
+_NEAR = """
 WITH allv AS (SELECT product_id, category, embedding FROM f_catalogue UNION ALL SELECT product_id, category, embedding FROM f_near_copies)
 SELECT DISTINCT b.product_id AS drop_id FROM allv a JOIN allv b ON a.category = b.category AND a.product_id < b.product_id
-WHERE round(list_cosine_similarity(a.embedding, b.embedding), 12) >= 0.97""",
-)
+WHERE round(list_cosine_similarity(a.embedding, b.embedding), 12) >= 0.97"""
+
+
+def _with_copies(i):
+    return i.catalogue().select("product_id", "category", "embedding").unionByName(i.near_copies())
+
+
+@query("near_dup", _NEAR)
 def near_dup(i):
-    every = i.catalogue().select("product_id", "category", "embedding").unionByName(i.near_copies())
-    return curate.near_duplicates(every)
+    return curate.near_duplicates(_with_copies(i))
+
+
+@query("near_dup_hashed", _NEAR)
+def near_dup_hashed(i):
+    return curate.near_duplicates_hashed(_with_copies(i), DIM)
 
 
 # Every vector twice: under an even id and, as a supplier's near copy, under the next odd id.
@@ -182,8 +191,6 @@ FROM ({_HELD_OUT}) e LEFT JOIN (SELECT post_id, {_BANDS.format(a='area_frac')} F
 )
 def fold_labels(i):
     """Labels from each post's best box; posts whose best box is huge stay unlabelled."""
-    from ..operators import infer
-
     labels = curate.with_slice_labels(infer.best_box(i.detections()).where("area_frac < 0.4"))
     return curate.fold_slice_labels(_judgments(i), labels).select("post_id", "category", "product_id", "size_band", "occlusion")
 
@@ -247,8 +254,6 @@ FROM (SELECT *, CASE WHEN length(pair_key) < 7 THEN lpad(pair_key, 7, '0') ELSE
       WHERE street_crop IS NOT NULL AND shop_thumb IS NOT NULL) t""",
 )
 def ingest_pairs(i):
-    from ..functions.scalars import CATEGORIES
-
     incoming = i.image_pairs()
     roles = pair_source.infer_roles(incoming.schema, ["street_crop", "shop_thumb"])
     category = pair_source.decode_category(incoming, roles["category"], CATEGORIES)
@@ -280,8 +285,6 @@ SELECT e.product_id, coalesce(s.path, concat('marker://run-2/', e.product_id)) A
 FROM f_catalogue e LEFT JOIN (SELECT product_id, image_path AS path FROM f_products WHERE image_path LIKE 'img/%') s USING (product_id)""",
 )
 def resolve_paths(i):
-    from .inputs import RUN
-
     shipped = runs.viewable(i.products()).select("product_id", F.col("image_path").alias("path"))
     paths = runs.resolve_image_path(i.catalogue().select("product_id"), shipped, RUN)
     return paths.withColumn("is_viewable", ~F.col("image_path").startswith(runs.MARKER))
@@ -294,8 +297,6 @@ SELECT concat('post_', query_id) AS post_id, concat('marker://run-2/post_', quer
        query_id::VARCHAR AS relevant_ids, 1.0::DOUBLE AS grade, 'styled_post' AS query_condition, size_band, occlusion FROM f_queries""",
 )
 def rebuild_eval(i):
-    from .inputs import RUN
-
     delivered = i.queries().selectExpr("query_id AS product_id", "concat('post_', query_id) AS post_id", "category", "size_band", "occlusion")
     none_shipped = i.products().where("false").select("product_id", F.col("image_path").alias("path"))
     delivered = runs.resolve_image_path(delivered, none_shipped, RUN, prefix="post_")

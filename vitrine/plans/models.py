@@ -29,10 +29,9 @@ def text_encoder(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """``doc_id, text`` to a unit vector of hashed word counts; empty texts are left out."""
     for batch in batches:
         readable = batch[batch["text"].notna() & (batch["text"] != "")]
-        yield pd.DataFrame({
-            "doc_id": readable["doc_id"],
-            "embedding": [_bag_of_words(t) for t in readable["text"]],
-        })
+        # An object column, so that a batch without readable texts still has the right type.
+        vectors = pd.Series([_bag_of_words(t) for t in readable["text"]], index=readable.index, dtype=object)
+        yield pd.DataFrame({"doc_id": readable["doc_id"], "embedding": vectors})
 
 
 LABELS = np.array(["bag", "bottom", "dress", "hat", "outer", "shoes", "top"], dtype=object)

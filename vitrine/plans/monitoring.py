@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..operators import drift, infer, monitor
+from ..operators import drift, gate, infer, monitor
 from .evaluation import HISTORY_SQL, history
 from .inputs import AS_OF
 from .registry import query, rounded, stored, text_time
@@ -137,8 +137,6 @@ SELECT kind, severity, round(value, 6) + 0 AS value, subject FROM (
   UNION ALL SELECT 'champion_degraded', 'high', delta, model_name FROM ({_TREND}) t WHERE delta < -0.02) a""",
 )
 def alerts(i):
-    from ..operators import gate
-
     raised = monitor.alerts(
         AS_OF,
         online=monitor.online_metrics(i.flagged_events(), AS_OF),

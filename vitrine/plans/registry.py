@@ -56,7 +56,9 @@ def query(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison across engines; -0.0 becomes 0.0."""
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
+    return df.selectExpr(
+        *[f"round({c}, {digits}) + 0D AS {c}" if c in columns else f"`{c}`" for c in df.columns]
+    )
 
 
 def text_time(df: DataFrame, *columns: str) -> DataFrame:

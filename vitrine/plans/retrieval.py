@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import infer, retrieve
+from ..functions import vectors as V
+from ..operators import curate, infer, retrieve
 from .inputs import DIM
 from .registry import query, rounded
 
@@ -126,16 +127,21 @@ def binary_rerank(i):
     return rounded(retrieve.binary_rerank(i.queries(), i.catalogue(), DIM, RECALL_K, K), "score")
 
 
+def _hashed(i):
+    # A few hundred vectors per category fill few buckets; a large catalogue takes more bits.
+    return retrieve.ann_topk(i.queries(), i.catalogue(), 10, DIM, bits=4, tables=8, probes=3)
+
+
 @query("ann_topk")
 def ann_topk(i):
-    return rounded(retrieve.ann_topk(i.queries(), i.catalogue(), 10, DIM), "score")
+    return rounded(_hashed(i), "score")
 
 
 @query("ann_recall")
 def ann_recall(i):
     """Share of the exact top 10 that the hashed search returns."""
     exact = retrieve.exact_topk(i.queries(), i.catalogue(), 10)
-    return rounded(retrieve.recall_against(exact, retrieve.ann_topk(i.queries(), i.catalogue(), 10, DIM)), "recall")
+    return rounded(retrieve.recall_against(exact, _hashed(i)), "recall")
 
 
 @query(
@@ -146,8 +152,6 @@ SELECT p.product_id, p.category, p.brand, p.in_stock, p.region, round(p.price, 2
 FROM f_products p JOIN f_catalogue e USING (product_id)""",
 )
 def catalogue_vectors(i):
-    from ..functions import vectors as V
-
     joined = retrieve.catalogue_vectors(i.catalogue().select("product_id", "embedding"), i.products())
     return joined.select(
         "product_id", "category", "brand", "in_stock", "region", F.round("price", 2).alias("price"),
@@ -178,8 +182,6 @@ SELECT query_id, rank, product_id, round(score, 6) + 0 AS score FROM ({ranking_s
 WHERE NOT EXISTS (SELECT 1 FROM f_relevance r WHERE r.query_id = t.query_id AND r.product_id = t.product_id)""",
 )
 def mined_negatives(i):
-    from ..operators import curate
-
     return rounded(curate.mine_hard_negatives(i.queries(), i.catalogue(), i.relevance()), "score").select(
         "query_id", "rank", "product_id", "score"
     )

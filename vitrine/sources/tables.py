@@ -7,7 +7,6 @@ not needed because versions sort by name.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from ..schemas import conform
 
@@ -20,18 +19,18 @@ class Tables:
     def path(self, schema: str, name: str) -> str:
         return f"{self.base}/{schema}/{name}"
 
-    def read(self, schema: str, name: str, columns: list[str] | None = None, declared: StructType | None = None) -> DataFrame:
+    def read(self, schema: str, name: str, columns: list[str] | None = None, declared: str | None = None) -> DataFrame:
         reader = self.spark.read.schema(declared) if declared is not None else self.spark.read
         df = reader.parquet(self.path(schema, name))
         return df.select(*columns) if columns else df
 
-    def append(self, df: DataFrame, schema: str, name: str, declared: StructType | None = None, stamp: str | None = None) -> None:
+    def append(self, df: DataFrame, schema: str, name: str, declared: str | None = None, stamp: str | None = None) -> None:
         """Add rows, optionally stamped with the write time in column ``stamp``."""
         if stamp:
             df = df.withColumn(stamp, F.current_timestamp())
         self._write(df, schema, name, declared, "append")
 
-    def replace(self, df: DataFrame, schema: str, name: str, declared: StructType | None = None) -> None:
+    def replace(self, df: DataFrame, schema: str, name: str, declared: str | None = None) -> None:
         """Replace a table; its schema may change. ``df`` must not read the same table."""
         self._write(df, schema, name, declared, "overwrite")
 
@@ -44,7 +43,7 @@ class Tables:
         df = self.spark.read.parquet(self.path(schema, name)).where(F.col("event_date") >= F.lit(first_day).cast("date"))
         return df if last_day is None else df.where(F.col("event_date") <= F.lit(last_day).cast("date"))
 
-    def _write(self, df: DataFrame, schema: str, name: str, declared: StructType | None, mode: str) -> None:
+    def _write(self, df: DataFrame, schema: str, name: str, declared: str | None, mode: str) -> None:
         if declared is not None:
             df = conform(df, declared)
         df.write.mode(mode).parquet(self.path(schema, name))
