@@ -115,3 +115,12 @@ def test_snapshot_of_rows(spark):
         ("confidence_hist", "10"): 1, ("confidence_hist", "13"): 1, ("centroid", "0"): 0.5, ("centroid", "1"): 0.5,
         ("fallback_rate", "all"): 0.5, ("mean_confidence", "all"): pytest.approx(0.6), ("table_size", "n_products"): 3, ("table_size", "n_eval_queries"): 2,
     }
+
+
+def test_newest_two_captures(spark):
+    log = spark.sql("SELECT s, cast(at AS timestamp) AS captured_at FROM VALUES (1, '2024-01-01'), (2, '2024-01-02'), (3, '2024-01-03'), (33, '2024-01-03') AS t(s, at)")
+    values = lambda df: sorted(r["s"] for r in df.collect())
+    previous, current = drift.newest_two(log)
+    assert (values(previous), values(current)) == ([2], [3, 33])
+    previous, current = drift.newest_two(log.where("s = 1"))
+    assert (values(previous), values(current)) == ([], [1])

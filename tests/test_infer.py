@@ -59,6 +59,7 @@ def test_expand_items(spark):
     ]
     rate = infer.fallback_rate(infer.expand_items(posts, boxes)).first()
     assert (rate["n_images"], rate["fallback_rate"]) == (2, 0.5)
+    assert infer.fallback_rate(infer.first_items(posts, boxes)).first() == rate
 
 
 def test_best_box_is_item_zero(spark):

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from .skew import SMALL_TABLE_ROWS, fetch_if_small
 
 SCORE_DIGITS = 12
+ROUNDING = 10.0**-SCORE_DIGITS
 QUERY_BLOCK = 2_048
 CATALOGUE_BLOCK = 16_384
 DUPLICATE_BLOCK = 32_768
@@ -46,8 +47,7 @@ def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     if metric == "hamming":
         differing = np.bitwise_count(q[:, None, :] ^ c[None, :, :])
         return -differing.sum(axis=2, dtype=np.int64).astype(np.float64)
-    # Rounding makes equal vectors tie exactly, wherever they sit in a block.
-    return np.round(q @ c.T, SCORE_DIGITS)
+    return q @ c.T
 
 
 def _prepare(table: pa.Table, vector: str, metric: str) -> tuple[np.ndarray, np.ndarray]:
@@ -60,14 +60,18 @@ def _prepare(table: pa.Table, vector: str, metric: str) -> tuple[np.ndarray, np.
 
 
 def _best_per_row(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, score) of the k best columns per row; the lower column wins a tie."""
+    """(row, column, score) of the k best columns per row; the lower column wins a tie.
+
+    Scores count to SCORE_DIGITS, so that equal vectors tie exactly wherever they
+    sit in a block. Everything that could round up to the k-th best is a candidate.
+    """
     width = scores.shape[1]
     if width > k:
-        floor = np.partition(scores, width - k, axis=1)[:, width - k]
+        floor = np.partition(scores, width - k, axis=1)[:, width - k] - 2 * ROUNDING
         rows, cols = np.nonzero(scores >= floor[:, None])
     else:
         rows, cols = np.nonzero(np.ones(scores.shape, dtype=bool))
-    vals = scores[rows, cols]
+    vals = np.round(scores[rows, cols], SCORE_DIGITS)
     order = np.lexsort((cols, -vals, rows))
     rows, cols, vals = rows[order], cols[order], vals[order]
     first = np.searchsorted(rows, rows)
@@ -227,7 +231,7 @@ def block_duplicates(
             lowest_a = np.full(len(b_ids), -1)
             tile = max(1, _TILE_CELLS // max(1, len(b_ids)))
             for start in range(0, len(a_ids) if len(b_ids) else 0, tile):
-                hit = _scores(am[start : start + tile], bm, "cosine") >= threshold
+                hit = am[start : start + tile] @ bm.T >= threshold - ROUNDING / 2
                 for_a, for_b = hit.any(axis=1), hit.any(axis=0)
                 rows = np.flatnonzero(for_a)
                 lower = b_ids[hit[rows].argmax(axis=1)] < a_ids[start + rows]

@@ -84,7 +84,7 @@ def snapshot(
 
     Rows are ``(signal, key, value)``: counts per category, size band and
     confidence bin, the centroid by position, rates and table sizes.
-    ``confidences`` has ``score``; ``items`` is the output of ``expand_items``.
+    ``confidences`` has ``score``; ``items`` comes from ``expand_items`` or ``first_items``.
     """
     def rows(df: DataFrame, signal: str, key: str, value: str) -> DataFrame:
         return df.select(
@@ -122,6 +122,19 @@ def snapshot_payload(snap: DataFrame) -> DataFrame:
     )
 
 
+def newest_two(snapshots: DataFrame, at: str = "captured_at") -> tuple[DataFrame, DataFrame]:
+    """(previous, current): the rows of the last two captures of a snapshot log.
+
+    Only the capture times are ranked, and the two newest are found by a top-2
+    instead of a sort. With a single capture the previous one is empty.
+    """
+    times = snapshots.select(at).distinct().orderBy(F.desc(at)).limit(2)
+    bounds = times.agg(F.struct(F.max(at).alias("newest"), F.min(at).alias("oldest")).alias("t")).scalar()
+    current = snapshots.where(F.col(at) == bounds["newest"])
+    previous = snapshots.where((F.col(at) == bounds["oldest"]) & (bounds["oldest"] < bounds["newest"]))
+    return previous, current
+
+
 # What each stored signal is reported as, how it is measured and what a move suggests.
 _REPORTED = [
     ("category_counts", "category_mix", "PSI", 4, "the mix of garment types has changed"),

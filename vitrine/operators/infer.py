@@ -107,6 +107,14 @@ def expand_items(images: DataFrame, detections: DataFrame, buckets: int = 256) -
     )
 
 
+def first_items(images: DataFrame, detections: DataFrame) -> DataFrame:
+    """One row per image saying whether it fell back to the whole image; ranks no boxes."""
+    found = detections.select("post_id").distinct().withColumn("_found", F.lit(True))
+    return images.select("post_id").join(found, "post_id", "left").select(
+        "post_id", F.lit(0).alias("item_index"), F.col("_found").isNull().alias("used_whole_image")
+    )
+
+
 def fallback_rate(items: DataFrame) -> DataFrame:
     """Share of images where nothing was detected."""
     images = items.where(F.col("item_index") == 0)

@@ -171,6 +171,17 @@ def latency_summary(events: DataFrame, by: list[str], budget_ms: float = 250.0)
     return value_at_rank(events, by, "latency_ms", ranks).withColumn("within_budget", F.col("p95_ms") <= budget_ms)
 
 
+def serving_checks(events: DataFrame, budget_ms: float = 250.0) -> DataFrame:
+    """One latency check per day and model version over the logged searches."""
+    daily = events.withColumn("checked_at", F.date_trunc("day", "event_ts"))
+    return latency_summary(daily, ["checked_at", "model_version"], budget_ms).withColumn("budget_ms", F.lit(budget_ms))
+
+
+def serving_history(checks: DataFrame, last: int = 10) -> DataFrame:
+    """The newest serving checks."""
+    return checks.orderBy(F.desc("checked_at"), "model_version").limit(last)
+
+
 def recent_events(events: DataFrame, last: int = 20) -> DataFrame:
     """The newest searches with their click counts."""
     return (

@@ -61,7 +61,8 @@ def near_dup(i):
 
 @query("near_dup_hashed", _NEAR)
 def near_dup_hashed(i):
-    return curate.near_duplicates_hashed(_with_copies(i), DIM)
+    # Few bits, as a category here has few vectors: one copy in a million would be missed.
+    return curate.near_duplicates_hashed(_with_copies(i), DIM, bits=4, tables=10)
 
 
 # Every vector twice: under an even id and, as a supplier's near copy, under the next odd id.

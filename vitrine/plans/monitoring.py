@@ -106,6 +106,20 @@ def latency_summary(i):
     return rounded(monitor.latency_summary(i.events(), ["model_version"]), "p50_ms", "p95_ms")
 
 
+@query(
+    "serving_history",
+    """
+SELECT strftime(checked_at, '%Y-%m-%d %H:%M:%S') AS checked_at, model_version, n, round(p50_ms, 6) AS p50_ms, round(p95_ms, 6) AS p95_ms,
+       p95_ms <= 120 AS within_budget, 120::DOUBLE AS budget_ms FROM (
+  SELECT date_trunc('day', event_ts) AS checked_at, model_version, count(*) AS n, list_sort(list(latency_ms))[count(*) // 2 + 1] AS p50_ms,
+         list_sort(list(latency_ms))[greatest(floor(0.95::DOUBLE * count(*))::BIGINT, 1)] AS p95_ms
+  FROM f_events GROUP BY ALL) t ORDER BY t.checked_at DESC, model_version LIMIT 10""",
+)
+def serving_history(i):
+    checks = monitor.serving_history(monitor.serving_checks(i.events(), 120.0))
+    return rounded(text_time(checks, "checked_at"), "p50_ms", "p95_ms")
+
+
 @query(
     "recent_events",
     """
@@ -236,10 +250,6 @@ def centroid_shift(i):
     return rounded(drift.centroid_shift(q.where("label < 5"), q.where("label >= 5")), "shift")
 
 
-def _items(i):
-    return infer.expand_items(i.posts(), i.detections().where("score > 0.6"))
-
-
 def _snapshot(i, early: bool):
     """Inputs of one period: labels below and from 5, sales before and since late April 1998."""
     sales = i.raw("orders").selectExpr("o_orderkey AS post_id", "o_orderdate < timestamp_ntz'1998-04-25 00:00:00' AS early")
@@ -248,7 +258,7 @@ def _snapshot(i, early: bool):
     halves = "label < 5" if early else "label >= 5"
     return drift.snapshot(
         i.products().where(F.col("region") == ("JP" if early else "KR")), i.queries().where(halves), boxes,
-        infer.expand_items(posts, boxes.where("score > 0.6")),
+        infer.first_items(posts, boxes.where("score > 0.6")),
     )
 
 
@@ -297,7 +307,12 @@ UNION ALL SELECT 'mean_confidence', 'absolute change', round(delta, 4) + 0, CASE
 UNION ALL SELECT 'query_embedding_centroid', 'cosine distance', round(shift, 5) + 0, CASE WHEN abs(shift) < 0.05 THEN 'stable' ELSE 'significant shift' END FROM s""",
 )
 def drift_report(i):
-    """Both snapshots are stored first, as a monitoring run would find them."""
-    previous, current = stored(_snapshot(i, True), "snapshot"), stored(_snapshot(i, False), "snapshot")
-    report = drift.drift_report(previous, current).drop("hint")
+    """Two captures are stored first; the report compares the newest two of that log."""
+    log = stored(
+        _snapshot(i, True).withColumn("captured_at", F.lit("2024-01-30").cast("timestamp")).unionByName(
+            _snapshot(i, False).withColumn("captured_at", F.lit(AS_OF).cast("timestamp"))
+        ),
+        "snapshots",
+    )
+    report = drift.drift_report(*drift.newest_two(log)).drop("hint")
     return report.withColumn("value", F.col("value") + F.lit(0.0))
