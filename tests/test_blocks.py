@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from vitrine.operators import retrieve
+from vitrine.operators import curate, retrieve
 from vitrine.operators.blocks import block_duplicates, block_topk, merge_topk
 
 DIM = 8
@@ -153,3 +153,25 @@ def test_hit_report(spark):
     judged = spark.createDataFrame([(1, 11), (2, 20), (3, 30)], "query_id int, product_id int")
     r = retrieve.hit_report(results, judged).first()
     assert (r["n_queries"], r["n_hits"], r["hit_rate"], r["median_rank"]) == (3, 2, pytest.approx(2 / 3), 2)
+
+
+def test_finer_key_inside_blocks_equals_it_as_a_key(spark):
+    keys, m = skewed(150, 21)
+    df = frame(spark, list(range(150)), ["all"] * 150, m, "query_id").join(
+        spark.createDataFrame([(n, {"hot": 0, "a": 1, "b": 2}[k]) for n, k in enumerate(keys)], "query_id long, fine int"), "query_id"
+    )
+    products = df.withColumnRenamed("query_id", "product_id")
+    got = block_topk(df, products, 7, ["category"], within="fine", query_block=20, catalogue_block=30)
+    assert lists(merge_topk(got, 7)) == brute_force(range(150), keys, m, range(150), keys, m, 7, cosine)
+    dups = lambda **how: {r["drop_id"] for r in block_duplicates(products, 0.8, block=25, **how).collect()}
+    assert dups(keys=["category"], within="fine") == dups(keys=["category", "fine"])
+
+
+def test_hashed_duplicates_are_right_and_find_close_copies(spark):
+    rng = np.random.RandomState(3)
+    m = rng.standard_normal((120, DIM))
+    m = np.vstack([m, m + 0.02 * rng.standard_normal(m.shape)])
+    df = frame(spark, list(range(240)), ["c"] * 240, m, "product_id")
+    exact = {r["drop_id"] for r in curate.near_duplicates(df, 0.97).collect()}
+    hashed = {r["drop_id"] for r in curate.near_duplicates_hashed(df, DIM, 0.97, bits=6, tables=20).collect()}
+    assert hashed <= exact and set(range(120, 240)) <= hashed

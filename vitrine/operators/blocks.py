@@ -59,6 +59,23 @@ def _prepare(table: pa.Table, vector: str, metric: str) -> tuple[np.ndarray, np.
     return m.astype(np.float64), np.arange(len(m))
 
 
+def _matches(a: pa.Table, b: pa.Table, a_at: np.ndarray, b_at: np.ndarray, finer: tuple[str, str] | None):
+    """Row positions on both sides that may meet: all, or those that agree on the finer key.
+
+    Positions stay ascending, so the id order of a side is kept.
+    """
+    if finer is None:
+        yield np.arange(len(a_at)), np.arange(len(b_at))
+        return
+    aw, bw = a.column(finer[0]).to_numpy()[a_at], b.column(finer[1]).to_numpy()[b_at]
+    ao, bo = np.argsort(aw, kind="stable"), np.argsort(bw, kind="stable")
+    aw, bw = aw[ao], bw[bo]
+    shared = np.intersect1d(aw, bw)
+    cuts = [np.searchsorted(w, shared, side) for w in (aw, bw) for side in ("left", "right")]
+    for a0, a1, b0, b1 in zip(*cuts):
+        yield ao[a0:a1], bo[b0:b1]
+
+
 def _best_per_row(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, score) of the k best columns per row; the lower column wins a tie.
 
@@ -103,17 +120,25 @@ def block_topk(
     query_block: int = QUERY_BLOCK,
     catalogue_block: int = CATALOGUE_BLOCK,
     small_limit: int = SMALL_TABLE_ROWS,
+    within: str | None = None,
 ) -> DataFrame:
     """(query, product, score): at most ``k`` survivors per query and catalogue block.
 
     ``metric`` is ``cosine``, ``dot`` or ``hamming`` (negated distance over packed
     words). Rows without a vector take no part. Ids must be unique on each side
-    of a key. ``merge_topk`` turns the result into the final ranking.
+    of a key. ``within`` is a finer integer key that must agree as well; its many
+    small groups are matched inside a block instead of being one task call each.
+    ``merge_topk`` turns the result into the final ranking.
     """
     # Aliases give both sides columns of their own, even when they stem from one table.
     named = [F.col(k).alias(f"_key_{k}") for k in keys]
-    q = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("_q"), *named, F.col(vector).alias("_v"))
-    c = catalogue.where(F.col(vector).isNotNull()).select(F.col(product_id).alias("_p"), *named, F.col(vector).alias("_v"))
+    finer = [F.col(within).alias("_w")] if within else []
+    q = queries.where(F.col(vector).isNotNull()).select(
+        F.col(query_id).alias("_q"), *named, *finer, F.col(vector).alias("_v")
+    )
+    c = catalogue.where(F.col(vector).isNotNull()).select(
+        F.col(product_id).alias("_p"), *named, *finer, F.col(vector).alias("_v")
+    )
     keys = [f"_key_{k}" for k in keys]
     one, none = F.lit(1), F.lit(0)
     rows = q.select(*keys, one.alias("_q"), none.alias("_c")).unionByName(c.select(*keys, none.alias("_q"), one.alias("_c")))
@@ -124,18 +149,18 @@ def block_topk(
         .where((F.col("_nq") > 0) & (F.col("_nc") > 0)),
         small_limit,
     )
-    grid = [*keys, "_qb", "_cb"]
+    grid, carried = [*keys, "_qb", "_cb"], ["_w"] if within else []
     q = (
         q.join(sizes, keys)
         .withColumn("_qb", _block_of("_q", "_nq"))
         .withColumn("_cb", _every("_nc"))
-        .select("_q", *grid, "_v")
+        .select("_q", *grid, *carried, "_v")
     )
     c = (
         c.join(sizes, keys)
         .withColumn("_cb", _block_of("_p", "_nc"))
         .withColumn("_qb", _every("_nq"))
-        .select("_p", *grid, "_v")
+        .select("_p", *grid, *carried, "_v")
     )
     out = StructType().add("query_id", q.schema["_q"].dataType).add("product_id", c.schema["_p"].dataType).add("score", "double")
     id_types = [f.type for f in _arrow_schema(q.select("_q"), c.select("_p"))]
@@ -146,13 +171,15 @@ def block_topk(
             right = right.take(pc.sort_indices(right.column("_p")))
             qm, q_at = _prepare(left, "_v", metric)
             cm, c_at = _prepare(right, "_v", metric)
-            cells = max(1, len(cm)) * (cm.shape[1] if metric == "hamming" else 1)
-            tile = max(1, _TILE_CELLS // cells)
-            for start in range(0, len(qm) if len(cm) else 0, tile):
-                rows, cols, vals = _best_per_row(_scores(qm[start : start + tile], cm, metric), k)
-                found_q.append(q_at[rows + start])
-                found_p.append(c_at[cols])
-                found_s.append(vals)
+            for q_rows, c_rows in _matches(left, right, q_at, c_at, ("_w", "_w") if within else None):
+                cells = max(1, len(c_rows)) * (cm.shape[1] if metric == "hamming" else 1)
+                tile = max(1, _TILE_CELLS // cells)
+                for start in range(0, len(q_rows) if len(c_rows) else 0, tile):
+                    some = q_rows[start : start + tile]
+                    rows, cols, vals = _best_per_row(_scores(qm[some], cm[c_rows], metric), k)
+                    found_q.append(q_at[some[rows]])
+                    found_p.append(c_at[c_rows[cols]])
+                    found_s.append(vals)
         rows = np.concatenate(found_q) if found_q else np.empty(0, dtype=np.int64)
         cols = np.concatenate(found_p) if found_p else np.empty(0, dtype=np.int64)
         vals = np.concatenate(found_s) if found_s else np.empty(0)
@@ -187,6 +214,27 @@ def merge_topk(partial: DataFrame, k: int, carry: list[str] | None = None) -> Da
     )
 
 
+def _with_lower_partner(a: np.ndarray, b: np.ndarray, a_ids: np.ndarray, b_ids: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """Ids of either side (both in id order) with a lower id of the other within the threshold.
+
+    The first hit in id order decides: a lower partner exists iff that one is lower.
+    """
+    dropped = []
+    lowest_a = np.full(len(b_ids), -1)
+    tile = max(1, _TILE_CELLS // max(1, len(b_ids)))
+    for start in range(0, len(a_ids) if len(b_ids) else 0, tile):
+        hit = a[start : start + tile] @ b.T >= threshold - ROUNDING / 2
+        rows = np.flatnonzero(hit.any(axis=1))
+        lower = b_ids[hit[rows].argmax(axis=1)] < a_ids[start + rows]
+        dropped.append(a_ids[start + rows[lower]])
+        fresh = np.flatnonzero(hit.any(axis=0) & (lowest_a < 0))
+        lowest_a[fresh] = start + hit[:, fresh].argmax(axis=0)
+    seen = np.flatnonzero(lowest_a >= 0)
+    lower = a_ids[lowest_a[seen]] < b_ids[seen]
+    dropped.append(b_ids[seen[lower]])
+    return dropped
+
+
 def block_duplicates(
     vectors: DataFrame,
     threshold: float,
@@ -195,25 +243,29 @@ def block_duplicates(
     vector: str = "embedding",
     block: int = DUPLICATE_BLOCK,
     small_limit: int = SMALL_TABLE_ROWS,
+    within: str | None = None,
 ) -> DataFrame:
     """Ids that have a lower id within cosine ``threshold`` under the same keys.
 
     Only pairs of blocks i <= j are formed. A block pair answers, for each of its
     ids, whether some lower id is close enough; matching pairs are never listed,
-    so a large set of copies costs no more than any other rows.
+    so a large set of copies costs no more than any other rows. ``within`` works as
+    in ``block_topk``.
     """
-    v = vectors.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("_p"), *keys, F.col(vector).alias("_v"))
+    finer = [F.col(within).alias("_w")] if within else []
+    v = vectors.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("_p"), *keys, *finer, F.col(vector).alias("_v"))
     # A row alone under its keys has no partner and leaves before the shuffle.
     rows = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1)
     sizes = rows.select(*keys, _blocks(F.col("_rows"), block).alias("_n"))
     blocked = v.join(fetch_if_small(sizes, small_limit), keys).withColumn("_b", _block_of("_p", "_n"))
+    carry = lambda name: [F.col("_w").alias(name)] if within else []
     later = F.explode(F.sequence(F.col("_b"), F.col("_n") - 1))
     earlier = F.explode(F.sequence(F.lit(0), F.col("_b")))
     # Both sides descend from one table, so each gets column names of its own.
     left = blocked.select(F.col("_p").alias("_lp"), *[F.col(k).alias(f"_l{k}") for k in keys],
-                          F.col("_b").alias("_li"), later.alias("_lj"), F.col("_v").alias("_lv"))
+                          F.col("_b").alias("_li"), later.alias("_lj"), *carry("_lw"), F.col("_v").alias("_lv"))
     right = blocked.select(F.col("_p").alias("_rp"), *[F.col(k).alias(f"_r{k}") for k in keys],
-                           earlier.alias("_ri"), F.col("_b").alias("_rj"), F.col("_v").alias("_rv"))
+                           earlier.alias("_ri"), F.col("_b").alias("_rj"), *carry("_rw"), F.col("_v").alias("_rv"))
     grid = [*keys, "i", "j"]
     out = StructType().add("drop_id", v.schema["_p"].dataType)
     id_type = _arrow_schema(v.select("_p"))[0].type
@@ -227,20 +279,8 @@ def block_duplicates(
             bm, b_at = _prepare(b, "_rv", "cosine")
             a_ids = a.column("_lp").to_numpy()[a_at]
             b_ids = b.column("_rp").to_numpy()[b_at]
-            # First hit in id order: a lower partner exists iff the first one is lower.
-            lowest_a = np.full(len(b_ids), -1)
-            tile = max(1, _TILE_CELLS // max(1, len(b_ids)))
-            for start in range(0, len(a_ids) if len(b_ids) else 0, tile):
-                hit = am[start : start + tile] @ bm.T >= threshold - ROUNDING / 2
-                for_a, for_b = hit.any(axis=1), hit.any(axis=0)
-                rows = np.flatnonzero(for_a)
-                lower = b_ids[hit[rows].argmax(axis=1)] < a_ids[start + rows]
-                dropped.append(a_ids[start + rows[lower]])
-                fresh = np.flatnonzero(for_b & (lowest_a < 0))
-                lowest_a[fresh] = start + hit[:, fresh].argmax(axis=0)
-            seen = np.flatnonzero(lowest_a >= 0)
-            lower = a_ids[lowest_a[seen]] < b_ids[seen]
-            dropped.append(b_ids[seen[lower]])
+            for a_rows, b_rows in _matches(a, b, a_at, b_at, ("_lw", "_rw") if within else None):
+                dropped += _with_lower_partner(am[a_rows], bm[b_rows], a_ids[a_rows], b_ids[b_rows], threshold)
         ids = np.unique(np.concatenate(dropped)) if dropped else []
         return pa.table([pa.array(ids, id_type)], names=["drop_id"])
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.scalars import hash_bucket, occlusion, size_band
 from .blocks import block_duplicates
 from .monitor import since
-from .retrieve import exact_topk, with_buckets
+from .retrieve import bucket_parts, exact_topk, with_buckets, with_parts
 from .skew import nest_in_chunks
 
 
@@ -103,8 +103,9 @@ def near_duplicates_hashed(
     80 000 is missed, and closer pairs far more rarely. The work grows with the
     catalogue times the size of a bucket.
     """
-    bucketed = with_buckets(embeddings, "product_id", dim, bits, tables)
-    return block_duplicates(bucketed, threshold, ["category", "lsh_table", "lsh_bucket"], **blocks)
+    parts = bucket_parts(embeddings, bits)
+    bucketed = with_parts(with_buckets(embeddings, "product_id", dim, bits, tables), parts)
+    return block_duplicates(bucketed, threshold, ["category", "lsh_table", "lsh_part"], within="lsh_bucket", **blocks)
 
 
 def drop_products(pairs: DataFrame, drops: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..functions import vectors as V
-from .blocks import SCORE_DIGITS, block_topk, merge_topk
+from .blocks import CATALOGUE_BLOCK, SCORE_DIGITS, block_topk, merge_topk
+from .skew import fetch_if_small
 
 
 def latest_vectors(embeddings: DataFrame, version: str = "embedded_at", id_column: str = "product_id") -> DataFrame:
@@ -179,6 +180,18 @@ def with_buckets(
     return base.mapInArrow(assign, schema)
 
 
+def bucket_parts(vectors: DataFrame, bits: int) -> DataFrame:
+    """(category, parts): into how many parts of about one block a hash table is cut."""
+    rows = F.count(F.lit(1))
+    parts = F.least(F.ceil(rows / CATALOGUE_BLOCK), F.lit(2**bits)).cast("bigint")
+    return fetch_if_small(vectors.groupBy("category").agg(parts.alias("_parts")))
+
+
+def with_parts(bucketed: DataFrame, parts: DataFrame) -> DataFrame:
+    """Spread the buckets of a (category, table) over its parts; a bucket stays whole."""
+    return bucketed.join(parts, "category").withColumn("lsh_part", F.col("lsh_bucket") % F.col("_parts")).drop("_parts")
+
+
 def ann_topk(
     queries: DataFrame,
     catalogue: DataFrame,
@@ -199,9 +212,11 @@ def ann_topk(
     category is scored per query: add bits as the catalogue grows, and tables or
     probes for recall (``recall_against`` measures it).
     """
-    c = with_buckets(metadata_filter(catalogue, in_stock_only, region), "product_id", dim, bits, tables, 1, seed)
-    q = with_buckets(queries, "query_id", dim, bits, tables, probes, seed)
-    found = block_topk(q, c, k, ["category", "lsh_table", "lsh_bucket"], **blocks)
+    allowed = metadata_filter(catalogue, in_stock_only, region)
+    parts = bucket_parts(allowed, bits)
+    c = with_parts(with_buckets(allowed, "product_id", dim, bits, tables, 1, seed), parts)
+    q = with_parts(with_buckets(queries, "query_id", dim, bits, tables, probes, seed), parts)
+    found = block_topk(q, c, k, ["category", "lsh_table", "lsh_part"], within="lsh_bucket", **blocks)
     return merge_topk(found.groupBy("query_id", "product_id").agg(F.max("score").alias("score")), k)
 
 
