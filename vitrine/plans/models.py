@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,24 +13,24 @@ import pandas as pd
 DIM = 64
 
 
-@lru_cache(maxsize=100_000)
 def _slot(word: str) -> int:
     return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % DIM
 
 
-def _bag_of_words(text: str) -> np.ndarray:
+def _bag_of_words(text: str, slot: Callable[[str], int]) -> np.ndarray:
     v = np.zeros(DIM)
     for word, n in Counter(text.split(" ")).items():
-        v[_slot(word)] += n
+        v[slot(word)] += n
     return v / np.sqrt((v * v).sum())
 
 
 def text_encoder(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """``doc_id, text`` to a unit vector of hashed word counts; empty texts are left out."""
+    slot = lru_cache(maxsize=100_000)(_slot)
     for batch in batches:
         readable = batch[batch["text"].notna() & (batch["text"] != "")]
         # An object column, so that a batch without readable texts still has the right type.
-        vectors = pd.Series([_bag_of_words(t) for t in readable["text"]], index=readable.index, dtype=object)
+        vectors = pd.Series([_bag_of_words(t, slot) for t in readable["text"]], index=readable.index, dtype=object)
         yield pd.DataFrame({"doc_id": readable["doc_id"], "embedding": vectors})
 
 
