@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import work_dir
 
@@ -64,6 +65,11 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(start)
 
 
+def with_fields(first: StructField, ddl: str) -> StructType:
+    """The schema of a first field and the fields of ``ddl``."""
+    return StructType([first, *StructType.fromDDL(ddl).fields])
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     """A text column as Python strings; null is empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

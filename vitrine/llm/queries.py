@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, mixing
+from . import decontaminate, exact, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,15 @@ def op1(spark, sf_dir):
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_decontaminate", decontaminate.SQL)
+def op2(spark, sf_dir):
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query("op8_exact_dedup", exact.SQL)
 def op8(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
