@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact, mixing
+from . import decontaminate, exact, mixing, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +46,8 @@ def op2(spark, sf_dir):
 @query("op8_exact_dedup", exact.SQL)
 def op8(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_output")
+def op9(spark, sf_dir):
+    return tokens.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
