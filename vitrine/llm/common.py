@@ -73,3 +73,14 @@ def with_fields(first: StructField, ddl: str) -> StructType:
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     """A text column as Python strings; null is empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows whose id and text hash are in ``kept`` (``_kept_id``, ``_kept_hash``), each pair once, all columns.
+
+    The join's partitioning by id serves the numbering of repeated rows as well.
+    """
+    tagged = docs.select(F.struct("*").alias("_all"), F.col(id_col).alias("_by"), F.xxhash64(text_col).alias("_text_hash"))
+    found = tagged.join(kept, F.col("_by").eqNullSafe(F.col("_kept_id")) & (F.col("_text_hash") == F.col("_kept_hash")), "left_semi")
+    number = F.row_number().over(Window.partitionBy("_by", "_text_hash").orderBy(F.lit(0)))
+    return found.withColumn("_number", number).where("_number = 1").select("_all.*")

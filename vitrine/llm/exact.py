@@ -66,12 +66,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns. Ids must be unique and not null."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept, docs[id_col] == F.col("_kept_id"), "left_semi")
-
-
 SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS len,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact, mixing, tokens
+from . import decontaminate, exact, mixing, neardup, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,11 @@ def op2(spark, sf_dir):
     )
 
 
+@query("op7_near_dedup")
+def op7(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("_hash")
+
+
 @query("op8_exact_dedup", exact.SQL)
 def op8(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
