@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact, mixing, neardup, tokens
+from . import decontaminate, exact, language, mixing, neardup, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,11 @@ def op2(spark, sf_dir):
     )
 
 
+@query("op3_quality")
+def op3(spark, sf_dir):
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_near_dedup")
 def op7(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("_hash")
@@ -56,3 +61,8 @@ def op8(spark, sf_dir):
 @query("op9_token_output")
 def op9(spark, sf_dir):
     return tokens.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
+@query("op10_language")
+def op10(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))

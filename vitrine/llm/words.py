@@ -68,3 +68,22 @@ def hashed_words(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(len(batch) + 1, np.int64)
     at = np.cumsum([1, *(len(t) + 1 for t in batch)])
     return span_hashes(codes, starts, ends), np.searchsorted(starts, at)
+
+
+#: 0 white space, 1 part of a word, 2 any other sign.
+_CLASS = np.array([0 if b in b" \t\n\x0b\x0c\r" else 1 if FOLD[b] != 32 else 2 for b in range(256)], np.uint8)
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def hashed_tokens(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``hashed_words``, of words and of runs of other signs."""
+    whole = b" ".join([b"", *batch, b""])
+    kinds = _CLASS[np.frombuffer(whole, np.uint8)]
+    edges = np.flatnonzero(kinds[1:] != kinds[:-1]) + 1
+    starts, ends = edges[:-1], edges[1:]
+    real = kinds[starts] > 0
+    starts, ends = starts[real], ends[real]
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(batch) + 1, np.int64)
+    at = np.cumsum([1, *(len(t) + 1 for t in batch)])
+    return span_hashes(np.frombuffer(whole.translate(_LOWER), np.uint8), starts, ends), np.searchsorted(starts, at)
