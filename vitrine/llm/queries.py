@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact, language, mixing, neardup, quality, tokens
+from . import decontaminate, exact, language, licenses, mixing, neardup, quality, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,16 @@ def op3(spark, sf_dir):
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_licenses")
+def op4(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op6_toxicity")
+def op6(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_near_dedup")
 def op7(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("_hash")
