@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import running_sum, stored
 
@@ -54,7 +54,7 @@ def mix_plan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix",
     weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
 ) -> DataFrame:
-    """What the mix takes of every row: ``_row``, id, ``source``, ``size``, ``source_size``, ``target``, ``epochs``, ``rest``, ``taken``.
+    """What the mix takes of every row: ``_row``, ``_hash`` (of the text), id, ``source``, ``size``, ``source_size``, ``target``, ``epochs``, ``rest``, ``taken``.
 
     Inside a source the rows are ordered by a hash-random key of (seed, id), so
     reruns agree. Words are counted along that order: whole ``epochs`` of the source, then the ``rest`` of
@@ -68,12 +68,12 @@ def mix_plan(
     rows = stored(
         docs.select(
             F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"), key.cast("long").alias("_key"),
+            F.xxhash64(text_col).alias("_hash"), word_count(F.col(text_col)).alias("size"), key.cast("long").alias("_key"),
         ),
         "mix-rows",
     )
     sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
-    order = [F.col("source").isNull(), F.col("source"), F.col("_key"), F.col("_id"), F.col("size")]
+    order = [F.col("source").isNull(), F.col("source"), F.col("_key"), F.col("_id"), F.col("size"), F.col("_hash")]
     placed = running_sum(rows, order, F.col("size"), "mix-order")
     s = sources.withColumnRenamed("source", "_source")
     budget = F.floor("target").cast("long")
@@ -85,7 +85,7 @@ def mix_plan(
         .withColumn("_left", budget - F.col("epochs") * F.col("source_size"))
         .withColumn("rest", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_left") - before)))
         .select(
-            "_row", F.col("_id").alias(id_col), "source", "size", "source_size", "target", "epochs", "rest",
+            "_row", "_hash", F.col("_id").alias(id_col), "source", "size", "source_size", "target", "epochs", "rest",
             (F.col("epochs") * F.col("size") + F.col("rest")).alias("taken"),
         )
     )
@@ -96,23 +96,30 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A row of which only ``rest`` words fit into the last epoch is cut after that word; that is at most one row
     per source. Rows of which no word is taken, and rows without words, do not appear. ``n_chars`` follows the
-    text where the table has it. Ids must be unique and not null: they find the rows again.
+    text where the table has it. Rows are found again by id and text hash, repeated ones by their number, so null and
+    repeated ids are as good as others.
     """
-    plan = mix_plan(docs, id_col, text_col, source_col, **options).where("taken > 0")
-    plan = plan.select(F.col(id_col).alias("_mix_id"), F.col("size").alias("_mix_size"), F.col("epochs").alias("_mix_epochs"), F.col("rest").alias("_mix_rest"))
-    joined = docs.join(plan, docs[id_col] == plan["_mix_id"])
-    # A short last copy stands first in the list of lengths, whole copies after it.
-    lengths = F.concat(
-        F.when(F.col("_mix_rest") > 0, F.array("_mix_rest")).otherwise(F.array().cast("array<bigint>")),
-        F.array_repeat("_mix_size", F.col("_mix_epochs").cast("int")),
+    same = Window.partitionBy("_mix_id", "_mix_hash").orderBy(F.desc("_mix_take"), F.desc("_mix_rest"))
+    plan = mix_plan(docs, id_col, text_col, source_col, **options).select(
+        F.col(id_col).alias("_mix_id"), F.col("_hash").alias("_mix_hash"), F.col("size").alias("_mix_size"),
+        F.col("epochs").alias("_mix_epochs"), F.col("rest").alias("_mix_rest"), F.col("taken").alias("_mix_take"),
     )
-    copies = joined.withColumn("_mix_take", F.explode(lengths))
+    plan = plan.withColumn("_mix_number", F.row_number().over(same)).where("_mix_take > 0").drop("_mix_take")
+    tagged = docs.select(F.struct("*").alias("_all"), F.col(id_col).alias("_by"), F.xxhash64(text_col).alias("_by_hash"))
+    tagged = tagged.withColumn("_by_number", F.row_number().over(Window.partitionBy("_by", "_by_hash").orderBy(F.lit(0))))
+    found = F.col("_by").eqNullSafe(F.col("_mix_id")) & (F.col("_by_hash") == F.col("_mix_hash")) & (F.col("_by_number") == F.col("_mix_number"))
+    # One length per copy: whole copies, and a last one that may be shorter.
+    last = F.when(F.col("_mix_rest") > 0, F.array("_mix_rest")).otherwise(F.array().cast("array<bigint>"))
+    lengths = F.concat(last, F.array_repeat("_mix_size", F.col("_mix_epochs").cast("int")))
+    copies = tagged.join(plan, found).select("_all", "_mix_size", F.explode(lengths).alias("_mix_take"))
+    text = F.col("_all")[text_col]
     whole = F.col("_mix_take") >= F.col("_mix_size")
-    head = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("_mix_take").cast("int")), "")
-    copies = copies.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(head))
+    parts = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    head = F.array_join(F.slice(parts, F.lit(1), F.col("_mix_take").cast("int")), "")
+    changed = {text_col: F.when(whole, text).otherwise(head)}
     if "n_chars" in docs.columns:
-        copies = copies.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length(text_col).cast("long")))
-    return copies.select(*docs.columns)
+        changed["n_chars"] = F.when(whole, F.col("_all")["n_chars"]).otherwise(F.length(changed[text_col]).cast(docs.schema["n_chars"].dataType))
+    return copies.select(*[changed.get(c, F.col("_all")[c]).alias(c) for c in docs.columns])
 
 
 SQL = r"""
