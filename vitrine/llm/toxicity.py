@@ -140,7 +140,7 @@ def score_toxicity(
     trees over ``FEATURES`` and, on training rows of their own, an isotonic calibration of the trees' margin are
     learned from the other labelled rows, at most ``train_rows`` of them. Inputs of a score are the features of the whole text only.
 
-    Null texts are empty; an empty text has a score like any other. Without labels of both classes, every score
+    Null texts are empty; an empty text has a score like any other. Without labelled rows of both classes, every score
     is the share of toxic labels (0 if there are none). Rows with null labels or null ids teach nothing.
     Repeated rows are scored alike. An empty table gives an empty result. Other columns are not read.
     """
@@ -148,9 +148,10 @@ def score_toxicity(
     taught = labels.select(F.col(id_col).alias("_label_id"), (F.col(label_col) == 1).cast("int").alias("_label"))
     taught = taught.where(F.col("_label").isNotNull() & F.col("_label_id").isNotNull() & ~held_out("_label_id"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    named = rows.select(F.col("_id").alias(id_col), held_out("_id").alias("held_out"))
-    share, kinds = taught.agg(F.avg("_label"), F.count_distinct("_label")).first()
+    known = taught.join(rows.select("_id"), F.col("_id") == F.col("_label_id"), "left_semi")
+    share, kinds = known.agg(F.avg("_label"), F.count_distinct("_label")).first()
     if kinds < 2:
+        named = rows.select(F.col("_id").alias(id_col), held_out("_id").alias("held_out"))
         return named.withColumns({"score": F.lit(float(share or 0)), "predicted": F.lit(int((share or 0) >= 0.5))})
     lexicon = spark.sparkContext.broadcast(learn_lexicon(rows, taught, "_text"))
 
