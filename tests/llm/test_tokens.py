@@ -51,7 +51,7 @@ def test_words_one_by_one_give_the_texts_ids():
     library = Tokenizer.from_file(PATH)
     texts = [
         "", "  a  b", "<|endoftext|> x <|ENDOFTEXT|>", "It's. 'sound' don't, 3.5, a.b, ÀÉ, Ω. É́. x y z İstanbul ΣΑΣ. a\x1cb !!, .",
-        "é. é, x9. x9,. ,,", "tabs\tand\r\nlines ...  Ends.", "a.,b., c,.", "日本語。 テスト, 1,000.",
+        "é. é, x9. x9,. ,,", "tabs\tand\r\nlines ...  Ends.", "a.,b., c,.", "日本語。 テスト, 1,000.", "wow!!! x*** y$%' (z) é!! 5%, '' rock'n'roll's' <|endoftext|>. a\u0301!!",
     ]
     own = tokens.WordTokenizer(PATH)
     assert [list(x) for x in own.encode([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]

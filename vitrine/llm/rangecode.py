@@ -23,13 +23,14 @@ MAGIC = b"LNC1"
 HEADER = "<4sIIII"  # magic, vocabulary, ids, lanes, crc32 of the ids
 HEADER_SIZE = struct.calcsize(HEADER)
 TAIL = "<I"  # crc32 of all bytes before
-MAX_LANES, LEAST_STEPS = 4096, 256
+MAX_LANES, LEAST_STEPS = 8192, 256
 MIX_BITS, ZERO_BITS = 16, 18
 CONTEXT_BITS = 20
 CHECK_STEPS = 64
 _U = np.uint64
-_FULL, _TOP, _LOW = _U(2**64 - 1), _U(2**48), _U(2**32)
-_S16, _S48 = _U(16), _U(48)
+_FULL, _TOP, _LEAST = _U(2**64 - 1), _U(2**56), _U(2**48)
+_S8, _S56 = _U(8), _U(56)
+_ZERO, _ALL, _LAST = _U(ZERO_BITS), _U(MIX_BITS + ZERO_BITS), _U((1 << ZERO_BITS) - 1)
 
 
 class CorruptBlock(ValueError):
@@ -89,7 +90,7 @@ class Model:
         if self.seen >= self.due:
             self.counts += np.bincount(np.concatenate(self.waiting), minlength=self.v)
             self.waiting = []
-            self.due = self.seen + max(1024, min(self.seen // 2, 65536))
+            self.due = self.seen + max(1024, min(self.seen // 2, 1 << 18))
             self._zero()
             self._mix()
 
@@ -99,6 +100,30 @@ def _shape(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def _narrow(low: np.ndarray, width: np.ndarray, spill) -> None:
+    """Shift out the leading bytes that are settled, in place; ``spill(lanes)`` is told of each byte before it goes.
+
+    A byte is settled where both ends of the interval have it; an interval that straddles a
+    boundary and is too thin is cut at the boundary, so no carry ever runs back.
+    """
+    lanes, lo, w = None, low, width
+    while True:
+        same = (lo ^ (lo + w)) < _TOP
+        thin = (w < _LEAST) & ~same
+        some = np.flatnonzero(same | thin)
+        if not len(some):
+            return
+        cut = thin.take(some)
+        lanes = some if lanes is None else lanes.take(some)
+        lo, w = lo.take(some), w.take(some)
+        if cut.any():
+            w = np.where(cut, (_U(0) - lo) & (_LEAST - _U(1)), w)
+        spill(lanes, lo)
+        lo <<= _S8
+        w <<= _S8
+        low[lanes], width[lanes] = lo, w
+
+
 def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     """One block of ids below ``vocabulary``."""
     ids = np.ascontiguousarray(ids, "<u4")
@@ -111,54 +136,42 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model = Model(vocabulary)
     low, width = np.zeros(lanes, _U), np.full(lanes, _FULL)
-    room = 2 * steps + 16 * CHECK_STEPS  # words per lane; grows where a lane comes near its end
-    out, at = np.zeros(lanes * room, "<u2"), np.zeros(lanes, np.int64)
-
-    def put(who, start: np.ndarray, freq: np.ndarray, bits: int) -> None:
-        w = width[who] >> _U(bits)
-        lo = low[who] + start * w
-        w = freq * w
-        while True:
-            same = (lo ^ (lo + w)) < _TOP
-            thin = ~same & (w < _LOW)
-            some = np.flatnonzero(same | thin)
-            if not len(some):
-                break
-            if thin.any():
-                w = np.where(thin, (_U(0) - lo) & (_LOW - _U(1)), w)
-            lane = some if who is every else who[some]
-            place, value = at.take(lane), lo.take(some)
-            out[lane * room + place] = value >> _S48
-            at[lane] = place + 1
-            lo[some] = value << _S16
-            w[some] = w.take(some) << _S16
-        low[who], width[who] = lo, w
+    room = 3 * steps + 16 * CHECK_STEPS  # bytes per lane; grows where a lane comes near its end
+    out, at = np.zeros(lanes * room, np.uint8), np.zeros(lanes, np.int64)
+
+    def put(who: np.ndarray, lo: np.ndarray) -> None:
+        place = at.take(who)
+        out[who * room + place] = lo >> _S56
+        at[who] = place + 1
 
     last, before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     for t in range(steps):
         active = max(0, -(-(n - t) // steps))
-        every = slice(0, active)
-        if t % CHECK_STEPS == 0 and int(at.max()) + 10 * CHECK_STEPS > room:
-            out = np.concatenate([out.reshape(lanes, room), np.zeros((lanes, room), "<u2")], 1).reshape(-1)
+        if t % CHECK_STEPS == 0 and int(at.max()) + 16 * CHECK_STEPS > room:
+            out = np.concatenate([out.reshape(lanes, room), np.zeros((lanes, room), np.uint8)], 1).reshape(-1)
             room *= 2
         now = grid[t, :active]
         model.look(last[:active], before[:active])
         choice = np.where((now == model.c2) & (model.f2 > 0), 0, np.where((now == model.c1) & (model.f1 > 0), 1, 2))
         event = model.context * 3 + choice
-        put(every, model.mix_start.take(event), model.mix.take(event), MIX_BITS)
+        start, freq = model.mix_start.take(event) << _ZERO, model.mix.take(event)
         rest = np.flatnonzero(choice == 2)
-        if len(rest):
-            coded = now.take(rest)
-            put(rest, model.zero_start.take(coded), model.zero.take(coded), ZERO_BITS)
+        coded, share = now.take(rest), freq.take(rest)
+        freq <<= _ZERO
+        start[rest] += share * model.zero_start.take(coded)
+        freq[rest] = share * model.zero.take(coded)
+        unit = width[:active] >> _ALL
+        low[:active] += start * unit
+        width[:active] = freq * unit
+        _narrow(low[:active], width[:active], put)
         model.learn(now, event)
         before[:active], last[:active] = last[:active], now
-    for _ in range(4):  # the rest of every lane's interval
-        out[np.arange(lanes) * room + at] = low >> _S48
-        at += 1
-        low <<= _S16
-    words = out.reshape(lanes, room)[np.arange(room)[None, :] < at[:, None]]
+    for _ in range(8):  # the rest of every lane's interval
+        put(np.arange(lanes), low)
+        low <<= _S8
+    data = out.reshape(lanes, room)[np.arange(room)[None, :] < at[:, None]]
     head = struct.pack(HEADER, MAGIC, vocabulary, n, lanes, zlib.crc32(ids.tobytes()))
-    body = head + at.astype("<u4").tobytes() + words.tobytes()
+    body = head + at.astype("<u4").tobytes() + data.tobytes()
     return body + struct.pack(TAIL, zlib.crc32(body))
 
 
@@ -172,55 +185,45 @@ def decode(block: bytes) -> np.ndarray:
         raise CorruptBlock("not a block of this format")
     steps = -(-n // lanes)
     sizes = np.frombuffer(body, "<u4", lanes, HEADER_SIZE).astype(np.int64)
-    words = np.concatenate([np.frombuffer(body, "<u2", offset=HEADER_SIZE + 4 * lanes), np.zeros(8, "<u2")]).astype(_U)
+    data = np.frombuffer(body + bytes(8), np.uint8, offset=HEADER_SIZE + 4 * lanes)
     at = np.cumsum(sizes) - sizes
     low, width, code = np.zeros(lanes, _U), np.full(lanes, _FULL), np.zeros(lanes, _U)
-    for _ in range(4):
-        code = (code << _S16) | words[at]
+    for _ in range(8):
+        code = (code << _S8) | data.take(at)
         at += 1
 
-    def take(who, start: np.ndarray, freq: np.ndarray, w: np.ndarray) -> None:
-        lo, c = low[who] + start * w, code[who]
-        w = freq * w
-        while True:
-            same = (lo ^ (lo + w)) < _TOP
-            thin = ~same & (w < _LOW)
-            some = np.flatnonzero(same | thin)
-            if not len(some):
-                break
-            if thin.any():
-                w = np.where(thin, (_U(0) - lo) & (_LOW - _U(1)), w)
-            lane = some if who is every else who[some]
-            place = at.take(lane)
-            c[some] = (c.take(some) << _S16) | words.take(place)
-            at[lane] = place + 1
-            lo[some] = lo.take(some) << _S16
-            w[some] = w.take(some) << _S16
-        low[who], width[who], code[who] = lo, w, c
+    def get(who: np.ndarray, lo: np.ndarray) -> None:
+        place = at.take(who)
+        code[who] = (code.take(who) << _S8) | data.take(place)
+        at[who] = place + 1
 
     model = Model(vocabulary)
     grid = np.zeros((steps, lanes), np.int64)
     last, before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     for t in range(steps):
         active = max(0, -(-(n - t) // steps))
-        every = slice(0, active)
-        model.look(last[every], before[every])
-        w = width[every] >> _U(MIX_BITS)
-        value = (code[every] - low[every]) // w
-        choice = (value >= model.mix_one.take(model.context)).astype(np.int64) + (value >= model.mix_two.take(model.context))
+        model.look(last[:active], before[:active])
+        unit = width[:active] >> _ALL
+        value = (code[:active] - low[:active]) // unit
+        coarse = value >> _ZERO
+        choice = (coarse >= model.mix_one.take(model.context)).astype(np.int64) + (coarse >= model.mix_two.take(model.context))
         event = model.context * 3 + choice
-        take(every, model.mix_start.take(event), model.mix.take(event), w)
+        start, freq = model.mix_start.take(event) << _ZERO, model.mix.take(event)
         now = np.where(choice == 0, model.c2, model.c1)
         rest = np.flatnonzero(choice == 2)
-        if len(rest):
-            w = width[rest] >> _U(ZERO_BITS)
-            value = np.minimum((code[rest] - low[rest]) // w, _U((1 << ZERO_BITS) - 1))
-            found = model.zero_id.take(value.astype(np.int64))
-            take(rest, model.zero_start.take(found), model.zero.take(found), w)
-            now[rest] = found
-        grid[t, every] = now
+        share = freq.take(rest)
+        fine = np.minimum((value.take(rest) - start.take(rest)) // share, _LAST)
+        found = model.zero_id.take(fine.astype(np.int64))
+        now[rest] = found
+        freq <<= _ZERO
+        start[rest] += share * model.zero_start.take(found)
+        freq[rest] = share * model.zero.take(found)
+        low[:active] += start * unit
+        width[:active] = freq * unit
+        _narrow(low[:active], width[:active], get)
+        grid[t, :active] = now
         model.learn(now, event)
-        before[every], last[every] = last[every], now
+        before[:active], last[:active] = last[:active], now
     ids = np.ascontiguousarray(grid.T).reshape(-1)[:n].astype("<u4")
     if zlib.crc32(ids.tobytes()) != crc:
         raise CorruptBlock("the ids of the block do not have their checksum")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,40 +13,73 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import work_dir
 from . import rangecode
-from .common import slices, texts
+from .common import slices
+from .words import raw_texts
 
 END_ID = 1
 BLOCK_IDS = 1 << 21
 #: Texts are tokenized word by word; a worker forgets its words when it holds this many.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 800_000
+#: Bytes of a text with blanks for tabs and line ends; and with small letters for A-Z as well.
+BLANK = bytes(32 if b in b"\t\n\r" else b for b in range(256))
+PLAIN = bytes(b + 32 if 65 <= b <= 90 else BLANK[b] for b in range(256))
 
 
 class WordTokenizer:
     """Ids of whole texts, from the ids of their words.
 
     None of the tokenizer's pre-token patterns crosses white space, so the ids of a text are
-    the ids of its white-space separated parts in order. Parts repeat a lot, so their ids are kept.
+    the ids of its white-space separated parts in order. Parts repeat a lot, so their ids are kept. More parts are alike
+    without capitals: the tokenizer itself lower-cases, so A-Z may be lowered first, but for the strings of
+    special tokens. A full stop or comma after a letter always starts a piece of its own.
+
+    It travels as a path; each worker process loads the file once and keeps its words from task to task.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
-        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in batch]
-        missing = set().union(*parts) - self.known.keys() if parts else set()
+        self.path, self.tokenizer, self.known = path, None, {}
+
+    def __getstate__(self):
+        return {"path": self.path, "tokenizer": None, "known": {}}
+
+    def load(self) -> int:
+        """Size of the vocabulary, once the tokenizer is there."""
+        if self.tokenizer is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.size = self.tokenizer.get_vocab_size()
+            self.code = "H" if self.size <= 1 << 16 else "I"
+            rules = str(self.tokenizer.normalizer)
+            self.lowers = "Lowercase" in rules
+        return self.size
+
+    def _parts(self, text: bytes) -> list[bytes]:
+        return text.translate(PLAIN if self.lowers and b"<|" not in text else BLANK).split(b" ")
+
+    def _learn(self, missing: set[bytes]) -> None:
+        cut = {p for p in missing if p[-1:] in (b".", b",") and p[-2:-1].isalpha()}
+        new = list((missing - cut | {p[:-1] for p in cut} | {b".", b","}).difference(self.known))
+        found = self.tokenizer.encode_batch_fast([p.decode(errors="replace") for p in new], add_special_tokens=False)
+        self.known.update((part, array(self.code, code.ids).tobytes()) for part, code in zip(new, found, strict=True))
+        for part in cut:
+            self.known[part] = self.known[part[:-1]] + self.known[part[-1:]]
+
+    def encode(self, batch: list[bytes]) -> list[np.ndarray]:
+        """The ids of UTF-8 texts."""
+        self.load()
+        parts = [self._parts(t) for t in batch]
+        missing: set[bytes] = set()
+        for p in parts:
+            missing.update(set(p).difference(self.known))
         if len(self.known) + len(missing) > CACHED_WORDS:
             self.known.clear()
             missing = set().union(*parts)
-        new = list(missing)
-        for part, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[part] = np.array(code.ids, "<u2" if self.size <= 1 << 16 else "<u4").tobytes()
+        if missing:
+            self._learn(missing)
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), "<u2" if self.size <= 1 << 16 else "<u4") for p in parts]
+        return [np.frombuffer(b"".join(map(get, p)), self.code) for p in parts]
 
 
 def write_tokens(
@@ -66,8 +100,11 @@ def write_tokens(
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     ordered = rows.repartitionByRange(n, "_id").sortWithinPartitions("_id", "_text").select(F.spark_partition_id().alias("_part"), "_id", "_text")
 
+    shared = docs.sparkSession.sparkContext.broadcast(WordTokenizer(tokenizer_path))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = shared.value
+        tokenizer.load()
         end = np.array([end_id], "<u4")
         part, block, first = 0, 0, 0
         ids: list[np.ndarray] = []
@@ -90,7 +127,7 @@ def write_tokens(
         for batch in slices(batches, "_text"):
             part = batch.column("_part")[0].as_py()
             column = batch.column("_id")
-            for i, code in enumerate(tokenizer.encode(texts(batch, "_text"))):
+            for i, code in enumerate(tokenizer.encode(raw_texts(batch, "_text"))):
                 ids += [code, end]
                 names.append(column.slice(i, 1))
                 lengths.append(len(code) + 1)
