@@ -28,11 +28,24 @@ def test_words_and_offsets():
 
 def test_banded_distance_is_the_edit_distance_within_the_limit():
     rng = np.random.default_rng(1)
+    texts, limits = [], []
     for _ in range(800):
         a = rng.integers(0, rng.integers(2, 9), rng.integers(0, 25))
         b = rng.integers(0, 9, rng.integers(0, 25)) if rng.random() < 0.4 else np.insert(np.delete(a, slice(1, 3)), 0, rng.integers(0, 9, 2))
-        limit = int(rng.integers(0, 14))
-        assert N.banded_distance(a, b, limit) == min(distance(a, b), limit + 1)
+        texts += [a, b]
+        limits.append(int(rng.integers(0, 14)))
+    left, limit = np.arange(0, len(texts), 2), np.array(limits)
+    got = N.banded_in_turns(N.Texts(texts), left, left + 1, limit)
+    assert got.tolist() == [min(distance(texts[k], texts[k + 1]), x + 1) for k, x in zip(left, limits, strict=True)]
+
+
+def test_bags_never_overstate_the_distance():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a = rng.integers(0, 30, rng.integers(1, 60)).astype(np.uint32)
+        b = np.delete(np.insert(a, rng.integers(0, len(a), 4), 99), slice(3, 6)).astype(np.uint32)
+        shared = [int(np.minimum(u, v).sum()) for u, v in zip(N.bags(a, 4096), N.bags(b, 4096), strict=True)]
+        assert N.least_distance(max(len(a), len(b)), *shared) <= distance(a, b)
 
 
 def test_samples_keep_the_order_and_count_occurrences():
@@ -92,7 +105,7 @@ def test_classes_against_all_pairs(spark, monkeypatch, block):
     rows = corpus()
     roots = brute(rows)
     got = N.near_duplicates(docs(spark, rows)).collect()
-    assert len(got) == len(rows) and sum(r.kept for r in got) == len({r.class_id for r in got})
+    assert len(got) == len(rows) and sum(r.kept for r in got) == len({(r.class_id, r.class_size) for r in got})
     # Nothing is together that all pairs keep apart.
     of = {}
     for n, (i, *_) in enumerate(rows):

@@ -20,6 +20,9 @@ SAMPLES, TAKEN = 32, 3
 #: Texts compared in one task when a bucket holds texts that its leader does not cover.
 BLOCK = 256
 _MAX = np.uint64(2**64 - 1)
+_STEP = np.arange(32)  # words compared at once along a diagonal
+CELLS = 1 << 16  # cells of the bands that are aligned in step
+TURN = 512  # pairs aligned before the connected ones are passed over again
 
 
 # ---------------------------------------------------------------- sketches
@@ -90,57 +93,104 @@ def order_min_hash(labelled: np.ndarray, first: np.ndarray, samples: int = SAMPL
 # ---------------------------------------------------------------- alignment
 
 
-def common_words(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted bags."""
-    values, counts = np.unique(a, return_counts=True)
-    at = np.searchsorted(b, values, "right") - np.searchsorted(b, values, "left")
-    return int(np.minimum(counts, at).sum())
+def bins_for(longest: int) -> int:
+    return 1 << max(12, (4 * longest).bit_length())
 
 
-def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
-    """Edit distance of two word sequences, or ``limit + 1`` if it is larger.
+def bags(text: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of words and of pairs of neighbouring words, by the low bits of their hashes."""
+    pairs = text[:-1] * np.uint32(0x9E3779B1) + (text[1:] ^ (text[1:] >> np.uint32(15)))
+    return np.bincount(text & (bins - 1), minlength=bins), np.bincount((pairs >> np.uint32(7)) & (bins - 1), minlength=bins)
 
-    Only diagonals within ``limit`` of the main one are followed: with each further edit, how far
-    every diagonal of the band reaches, all diagonals in one step.
+
+def least_distance(longer, words_shared, pairs_shared):
+    """Fewest edits between texts whose bags overlap so far: an edit takes one word, or two pairs, of the longer text."""
+    return np.maximum(longer - words_shared, -(-(longer - 1 - pairs_shared) // 2))
+
+
+class Texts:
+    """Word hashes of many texts in one array, each followed by padding that matches nothing."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.cumsum(self.sizes + len(_STEP) + 1) - (self.sizes + len(_STEP) + 1)
+        flat = np.full(int((self.sizes + len(_STEP) + 1).sum()), -1, np.int64)
+        for t, at in zip(texts, self.starts.tolist(), strict=True):
+            flat[at : at + len(t)] = t
+        # The two sides of a pair are padded differently, so that padding never agrees.
+        self.left, self.right = flat, np.where(flat < 0, -2, flat)
+
+
+def _agree(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For how many words the two arrays agree from each pair of places."""
+    length = np.zeros(len(i), np.int64)
+    open_ = np.arange(len(i))
+    while len(open_):
+        at = length[open_][:, None] + _STEP
+        differ = left[i[open_][:, None] + at] != right[j[open_][:, None] + at]
+        some = differ.any(1)
+        length[open_] += np.where(some, differ.argmax(1), len(_STEP))
+        open_ = open_[~some]
+    return length
+
+
+def banded(texts: Texts, a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Edit distance of the texts a[p] and b[p] of every pair p, or ``limit[p] + 1`` if it is larger.
+
+    Banded alignment: only diagonals within the limit of the main one are followed, and with each further edit it is
+    noted how far every diagonal of the band reaches. All pairs and diagonals move in step.
     """
-    if abs(len(a) - len(b)) > limit:
-        return limit + 1
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    head = int(differ[0]) if len(differ) else n
-    a, b = a[head:], b[head:]
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
-    tail = int(differ[0]) if len(differ) else n
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
-    if not len(a) or not len(b):
-        return max(len(a), len(b))
-    goal = len(b) - len(a)
-    diagonals = np.arange(-limit - 1, limit + 2)
-    reach = np.full(len(diagonals), -2)  # words of a that are done
-    centre = limit + 1
-    reach[centre] = 0
-    for edits in range(limit + 1):
-        lo, hi = max(1, centre - edits), min(len(diagonals) - 1, centre + edits + 1)
+    out = limit + 1
+    widest = int(limit.max(initial=0))
+    pair = np.flatnonzero(np.abs(texts.sizes[a] - texts.sizes[b]) <= limit)
+    if not len(pair):
+        return out
+    n, m = texts.sizes[a[pair]], texts.sizes[b[pair]]
+    at_a, at_b, most = texts.starts[a[pair]], texts.starts[b[pair]], limit[pair]
+    diagonals = np.arange(-widest - 1, widest + 2)
+    centre = widest + 1
+    reach = np.full((len(pair), len(diagonals)), -2, np.int64)  # words of a that are done
+    for edits in range(widest + 1):
+        # From a diagonal farther than the edits that are left, no pair gets to its end.
+        left_over = widest - edits
+        lo = max(1, centre - edits, centre + int((m - n).min()) - left_over)
+        hi = min(len(diagonals) - 1, centre + edits + 1, centre + int((m - n).max()) + left_over + 1)
         if edits:
-            before = reach.copy()
-            step = np.maximum(np.maximum(before[lo:hi] + 1, before[lo - 1 : hi - 1]), before[lo + 1 : hi + 1] + 1)
-            own = np.minimum(np.minimum(step, len(a)), len(b) - diagonals[lo:hi])
-            reach[lo:hi] = np.where(own + diagonals[lo:hi] < 0, -2, own)
-        moving = np.flatnonzero(reach[lo:hi] >= 0) + lo
-        while len(moving):
-            i = reach[moving]
-            j = i + diagonals[moving]
-            on = (i < len(a)) & (j < len(b)) & (j >= 0)
-            moving, i, j = moving[on], i[on], j[on]
-            moving = moving[a[i] == b[j]]
-            reach[moving] += 1
-        if reach[centre + goal] >= len(a):
-            return edits
-    return limit + 1
-
-
-def allowed(n: int, m: int, similarity: float) -> int:
+            own = np.maximum(np.maximum(reach[:, lo:hi] + 1, reach[:, lo - 1 : hi - 1]), reach[:, lo + 1 : hi + 1] + 1)
+            own = np.minimum(np.minimum(own, n[:, None]), m[:, None] - diagonals[lo:hi])
+        else:
+            own = np.zeros((len(pair), hi - lo), np.int64)
+        inside = (own >= 0) & (own + diagonals[lo:hi] >= 0)
+        own = np.where(inside, own, -2)
+        i = np.where(inside, at_a[:, None] + own, 0)
+        j = np.where(inside, at_b[:, None] + own + diagonals[lo:hi], 0)
+        row, column = np.nonzero(inside & (texts.left[i] == texts.right[j]))
+        own[row, column] += _agree(texts.left, texts.right, i[row, column], j[row, column])
+        reach[:, lo:hi] = own
+        done = reach[np.arange(len(pair)), centre + m - n] >= n
+        out[pair[done]] = edits
+        stay = ~done & (most > edits)
+        if not stay.all():
+            pair, n, m, at_a, at_b, most, reach = (x[stay] for x in (pair, n, m, at_a, at_b, most, reach))
+            if not len(pair):
+                break
+    return np.minimum(out, limit + 1)
+
+
+def banded_in_turns(texts: Texts, a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """``banded`` over bounded numbers of pairs at a time, those with like limits together."""
+    out = np.empty(len(a), np.int64)
+    order = np.argsort(limit, kind="stable")
+    start = 0
+    while start < len(order):
+        turn = order[start : start + max(1, CELLS // (2 * int(limit[order[start]]) + 3))]
+        turn = turn[: max(1, CELLS // (2 * int(limit[turn[-1]]) + 3))]
+        out[turn] = banded(texts, a[turn], b[turn], limit[turn])
+        start += len(turn)
+    return out
+
+
+def allowed(n: int, m: int, similarity: float = SIMILARITY) -> int:
     """Most edits that leave ``1 - edits / longer length`` at ``similarity`` or more."""
     return int((1 - similarity) * max(n, m) + 1e-9)
 
@@ -177,17 +227,20 @@ def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "words_a"):
-            roles = []
-            for x, y in zip(batch.column("words_a").to_pylist(), batch.column("words_b").to_pylist(), strict=True):
-                a, b = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                most = allowed(len(a), len(b), similarity)
-                apart = max(len(a), len(b)) - common_words(np.sort(a), np.sort(b))
-                reach = len(b) / similarity  # length of anything similar to b, at most
-                if apart > (1 - similarity) * (reach + max(reach, len(a))):
-                    roles.append("f")
-                else:
-                    roles.append("m" if apart <= most and banded_distance(a, b, most) <= most else "b")
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(roles)], ["a", "b", "role"])
+            both = [[np.frombuffer(x, "<u4") for x in batch.column(c).to_pylist()] for c in ("words_a", "words_b")]
+            apart = []
+            for a, b in zip(*both, strict=True):
+                bins = bins_for(max(len(a), len(b)))
+                shared = [int(np.minimum(u, v).sum()) for u, v in zip(bags(a, bins), bags(b, bins), strict=True)]
+                apart.append(int(least_distance(max(len(a), len(b)), *shared)))
+            texts, count, least = Texts(both[0] + both[1]), batch.num_rows, np.array(apart)
+            n, m = texts.sizes[:count], texts.sizes[count:]
+            most = ((1 - similarity) * np.maximum(n, m) + 1e-9).astype(np.int64)
+            reach = m / similarity  # length of anything similar to b, at most
+            roles = np.where(least > (1 - similarity) * (reach + np.maximum(reach, n)), "f", "b")
+            maybe = np.flatnonzero(least <= most)
+            roles[maybe[banded_in_turns(texts, maybe, maybe + count, most[maybe]) <= most[maybe]]] = "m"
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(roles.tolist())], ["a", "b", "role"])
 
     return pairs.select("a", "b", "words_a", "words_b").mapInArrow(run, "a binary, b binary, role string")
 
@@ -196,27 +249,56 @@ def _compare_block(similarity: float):
     """Links among the texts of one block pair of one bucket; pairs that are already connected are passed over."""
 
     def run(group: pa.Table) -> pa.Table:
+        # Members that are similar to the leader come first; they are connected to each other through it.
+        group = group.take(pa.array(np.argsort([r != "m" for r in group.column("role").to_pylist()], kind="stable")))
         keys, roles, sides = (group.column(c).to_pylist() for c in ("key", "role", "x"))
         texts = [np.frombuffer(w, "<u4") for w in group.column("words").to_pylist()]
-        bags = [np.sort(t) for t in texts]
-        sizes = np.array([len(t) for t in texts])
+        padded = Texts(texts)
+        sizes = padded.sizes
+        bins = min(bins_for(int(sizes.max())), 1 << 13)
+        counts = [bags(t, bins) for t in texts]
+        # Small counters; a text that passes them is not judged by its bags.
+        clipped = np.array([max(u.max(), v.max()) > 127 for u, v in counts])
+        single, double = (np.stack([np.minimum(c[k], 127).astype(np.int8) for c in counts]) for k in (0, 1))
+        # A pair that meets in an earlier sample's bucket too is settled there.
+        sample = group.column("sample")[0].as_py()
+        sketch = np.array(group.column("sketch").to_pylist(), np.int64)[:, :sample]
+        same, far, side = np.array([r == "m" for r in roles]), np.array([r == "f" for r in roles]), np.array(sides)
         one_block = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        parent = list(range(len(keys)))
+        parent = np.where(same, np.argmax(same), np.arange(len(keys))).tolist()
 
         def root(i: int) -> int:
             while parent[i] != i:
                 parent[i] = i = parent[parent[i]]
             return i
 
-        links = []
+        left, right, limits, least = [], [], [], []
         for i in range(len(keys)):
-            longer = np.maximum(sizes[i], sizes[i + 1 :])
-            for j in np.flatnonzero(np.minimum(sizes[i], sizes[i + 1 :]) >= similarity * longer - 1e-9) + i + 1:
-                needed = {roles[i], roles[j]}
-                if needed == {"m"} or needed == {"m", "f"} or (not one_block and sides[i] == sides[j]) or root(i) == root(j):
-                    continue
-                most = allowed(sizes[i], sizes[j], similarity)
-                if max(sizes[i], sizes[j]) - common_words(bags[i], bags[j]) <= most and banded_distance(texts[i], texts[j], most) <= most:
+            later = slice(i + 1, None)
+            longer = np.maximum(sizes[i], sizes[later])
+            most = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+            fit = (longer - np.minimum(sizes[i], sizes[later]) <= most) & ~(same[i] & (same[later] | far[later]))
+            if not one_block:
+                fit &= side[i] != side[later]
+            if sample:
+                fit &= ~(sketch[i] == sketch[later]).any(1)
+            others = np.flatnonzero(fit)
+            shared = (np.minimum(c[i], c[later][others]).sum(1, dtype=np.int64) for c in (single, double))
+            apart = np.where(clipped[later][others] | clipped[i], 0, least_distance(longer[others], *shared))
+            close = apart <= most[others]
+            for column, value in ((left, np.full(len(others), i)), (right, others + i + 1), (limits, most[others]), (least, apart)):
+                column.append(value[close])
+        left, right, limits, least = (np.concatenate(x) for x in (left, right, limits, least))
+        # Likely links first: pairs that they connect need no alignment.
+        order = np.argsort(least / np.maximum(limits, 1), kind="stable")
+        links = []
+        while len(order):
+            roots = np.array([root(i) for i in range(len(keys))])
+            order = order[roots[left[order]] != roots[right[order]]]
+            turn, order = order[:TURN], order[TURN:]
+            near = turn[banded_in_turns(padded, left[turn], right[turn], limits[turn]) <= limits[turn]]
+            for i, j in zip(left[near].tolist(), right[near].tolist(), strict=True):
+                if root(i) != root(j):
                     parent[root(i)] = root(j)
                     links.append((keys[i], keys[j]))
         return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
@@ -233,7 +315,7 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY) -> DataFr
     """
     texts = stored(sketched.groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")).where("n > 0"), "near-texts")
     members = texts.select("key", "n", F.posexplode("sketch").alias("sample", "value"))
-    members = members.select(F.xxhash64("sample", "value").alias("bucket"), "key", "n")
+    members = members.select(F.xxhash64("sample", "value").alias("bucket"), "sample", "key", "n")
     leaders = members.groupBy("bucket").agg(F.min(F.struct("key", "n")).alias("_lead"), F.count(F.lit(1)).alias("size")).where("size > 1")
     lead_n = F.col("_lead.n")
     reach = lead_n / similarity
@@ -241,19 +323,20 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY) -> DataFr
         F.abs(F.col("n") - lead_n) > (1 - similarity) * (reach + F.greatest(reach, F.col("n"))), "f"
     ).otherwise("b")
     compared = members.join(leaders, "bucket").where(F.col("key") != F.col("_lead.key"))
-    compared = stored(compared.select("bucket", F.col("key").alias("a"), F.col("_lead.key").alias("b"), by_length.alias("role")), "near-met")
+    compared = stored(compared.select("bucket", "sample", F.col("key").alias("a"), F.col("_lead.key").alias("b"), by_length.alias("role")), "near-met")
     met = compared.where("role IS NULL").drop("role")
-    away = compared.where("role IS NOT NULL").select("bucket", F.col("a").alias("key"), "role")
+    away = compared.where("role IS NOT NULL").select("bucket", "sample", F.col("a").alias("key"), "role")
     pairs = met.select("a", "b").distinct()
     wanted = met.select(F.col("a").alias("key")).union(met.select("b")).union(away.select("key")).distinct()
     words = stored(
-        sketched.select("key", "words").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words")), "near-words"
+        sketched.select("key", "words", "sketch").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"), F.first("sketch").alias("sketch")),
+        "near-words",
     )
     both = pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("words_a")), "a").join(
         words.select(F.col("key").alias("b"), F.col("words").alias("words_b")), "b"
     )
     checked = stored(_verified(both, similarity), "near-checked")
-    placed = met.join(checked, ["a", "b"]).select("bucket", F.col("a").alias("key"), "role").unionByName(away)
+    placed = met.join(checked, ["a", "b"]).select("bucket", "sample", F.col("a").alias("key"), "role").unionByName(away)
     placed = stored(placed, "near-roles")
     kinds = placed.groupBy("bucket").agg(
         F.count_if(F.col("role") == "b").alias("near"), F.count_if(F.col("role") == "f").alias("far"), F.count_if(F.col("role") == "m").alias("same")
@@ -264,7 +347,7 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY) -> DataFr
     left = placed.join(todo, "bucket").where("role != 'm' OR _all")
     left = left.withColumn("x", F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int"))
     dealt = left.withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)"))).select(
-        "bucket", "key", "role", "x", F.least("x", "_other").alias("i"), F.greatest("x", "_other").alias("j")
+        "bucket", "sample", "key", "role", "x", F.least("x", "_other").alias("i"), F.greatest("x", "_other").alias("j")
     )
     more = (
         dealt.join(words, "key")
