@@ -206,9 +206,9 @@ def _recent_with_image(events: DataFrame, as_of, days: int) -> DataFrame:
 
 
 def click_pairs(
-    events: DataFrame, products: DataFrame, as_of, days: int = 30, max_pairs: int | None = 50_000
+    events: DataFrame, products: DataFrame, as_of, days: int = 30, max_pairs: int | None = None
 ) -> DataFrame:
-    """Clicked results as positive pairs, newest first up to ``max_pairs`` per run."""
+    """Clicked results as positive pairs: all of them, or the newest ``max_pairs`` where a caller asks for a top list."""
     clicked = _recent_with_image(events, as_of, days).select(
         "event_id", "event_ts", "query_image", F.col("selected_category").alias("category"),
         F.explode("clicked").alias("product_id"),

@@ -135,14 +135,14 @@ def newest_two(snapshots: DataFrame, at: str = "captured_at") -> tuple[DataFrame
     return previous, current
 
 
-# What each stored signal is reported as, how it is measured and what a move suggests.
+# What each stored signal is reported as, its measure, and the digits that are kept.
 _REPORTED = [
-    ("category_counts", "category_mix", "PSI", 4, "the mix of garment types has changed"),
-    ("size_band_counts", "query_size_bands", "PSI", 4, "garments fill a different share of the photo"),
-    ("confidence_hist", "detector_confidence", "JS distance", 4, "the detector is more or less sure than before"),
-    ("fallback_rate", "detector_fallback_rate", "absolute change", 4, "share of images in which nothing was found"),
-    ("mean_confidence", "mean_confidence", "absolute change", 4, "mean detector confidence"),
-    ("centroid", "query_embedding_centroid", "cosine distance", 5, "queries look different on average"),
+    ("category_counts", "category_mix", "PSI", 4),
+    ("size_band_counts", "query_size_bands", "PSI", 4),
+    ("confidence_hist", "detector_confidence", "JS distance", 4),
+    ("fallback_rate", "detector_fallback_rate", "absolute change", 4),
+    ("mean_confidence", "mean_confidence", "absolute change", 4),
+    ("centroid", "query_embedding_centroid", "cosine distance", 5),
 ]
 
 
@@ -190,9 +190,9 @@ def drift_report(previous: DataFrame, current: DataFrame, epsilon: float = 1e-6)
     entries = [
         F.struct(
             F.lit(source).alias("source"), F.lit(name).alias("signal"), F.lit(metric).alias("metric"),
-            F.round(metric, digits).alias("value"), verdicts.get(name, verdicts.get(metric)).alias("verdict"), F.lit(hint).alias("hint"),
+            F.round(metric, digits).alias("value"), verdicts.get(name, verdicts.get(metric)).alias("verdict"),
         )
-        for source, name, metric, digits, hint in _REPORTED
+        for source, name, metric, digits in _REPORTED
     ]
     rows = measured.select(F.col("signal").alias("_of"), F.inline(F.array(*entries)))
     return rows.where((F.col("_of") == F.col("source")) & F.col("value").isNotNull()).drop("_of", "source")

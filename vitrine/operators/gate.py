@@ -108,9 +108,11 @@ def matryoshka_retention(short: DataFrame, full: DataFrame, floor: float = 0.95)
 
 def gate_report(verdicts: DataFrame) -> DataFrame:
     """One row: passed, the failing checks by name, and a readable summary."""
-    line = F.format_string(
-        "[%s] %-34s %9.4f vs %-9.4f %s",
-        F.when(F.col("passed"), "PASS").otherwise("FAIL"), "name", "observed", "threshold", "detail",
+    line = F.concat_ws(
+        "; ",
+        F.concat("name", F.when(F.col("passed"), " holds").otherwise(" FAILS")),
+        F.format_string("measured %.4f, limit %.4f", "observed", "threshold"),
+        "detail",
     )
     failed = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("name"))))
     report = verdicts.agg(
@@ -123,8 +125,9 @@ def gate_report(verdicts: DataFrame) -> DataFrame:
         "passed",
         names.alias("failures"),
         F.concat_ws(
-            "\n", "_lines",
-            F.concat(F.lit("VERDICT: "), F.when(F.col("passed"), "PROMOTE").otherwise(F.concat(F.lit("BLOCKED: "), names))),
+            "\n",
+            F.when(F.col("passed"), F.lit("May be promoted.")).otherwise(F.concat(F.lit("Must not be promoted: "), names)),
+            "_lines",
         ).alias("report"),
     )
 

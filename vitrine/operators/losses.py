@@ -58,10 +58,14 @@ def hard_negative_nce(temperature: float = TEMPERATURE) -> Loss:
     """Anchor-to-positive cross-entropy with extra mined negatives per anchor."""
 
     def loss(a, p, negatives=None):
-        a = _unit(a)
-        logits = a @ _unit(p).T / temperature
-        extra = np.einsum("bd,bnd->bn", a, _unit(negatives)) / temperature
-        return float((_log_sum_exp(np.hstack([logits, extra])) - np.diagonal(logits)).mean())
+        anchors, own = _unit(a), _unit(p)
+        # A missing negative (a row of NaN) takes no part in the sum.
+        missing = np.isnan(negatives).any(axis=2)
+        mined = np.matmul(_unit(np.nan_to_num(negatives)), anchors[:, :, None])[:, :, 0]
+        rivals = np.where(missing, -np.inf, mined / temperature)
+        in_batch = anchors @ own.T / temperature
+        target = (anchors * own).sum(axis=1) / temperature
+        return float(np.mean(_log_sum_exp(np.concatenate([in_batch, rivals], axis=1)) - target))
 
     return loss
 
@@ -80,10 +84,19 @@ def matryoshka(base: Loss, dims: tuple[int, ...]) -> Loss:
     return loss
 
 
+def _padded(rows: list[list | None], dim: int) -> np.ndarray:
+    """Vectors per row as one array; rows with fewer end in NaN."""
+    out = np.full((len(rows), max((len(r or []) for r in rows), default=0), dim), np.nan)
+    for n, vectors in enumerate(rows):
+        if vectors:
+            out[n, : len(vectors)] = vectors
+    return out
+
+
 def batch_losses(pairs: DataFrame, loss: Loss, n_batches: int, negatives: str | None = None) -> DataFrame:
     """(batch, n_pairs, loss) over ``pair_id, anchor, positive`` and optional negatives.
 
-    ``negatives`` names an ``array<array>`` column with equally many vectors per row.
+    ``negatives`` names an ``array<array>`` column; rows may have different numbers of vectors, or none.
     """
     columns = ["anchor", "positive"] + ([negatives] if negatives else [])
     batched = pairs.select(
@@ -94,10 +107,7 @@ def batch_losses(pairs: DataFrame, loss: Loss, n_batches: int, negatives: str |
         a, p = (_matrix(table, c).astype(np.float64) for c in ("anchor", "positive"))
         extra = None
         if negatives:
-            nested = table.column(negatives).combine_chunks()
-            nested = pa.concat_arrays(nested.chunks) if isinstance(nested, pa.ChunkedArray) else nested
-            flat = nested.flatten().flatten().to_numpy(zero_copy_only=False)
-            extra = flat.astype(np.float64).reshape(len(a), -1, a.shape[1])
+            extra = _padded(table.column(negatives).to_pylist(), a.shape[1])
         return pa.table({
             "batch": pa.array([key[0].as_py()], pa.int32()),
             "n_pairs": pa.array([len(a)], pa.int64()),

@@ -47,13 +47,20 @@ def since(events: DataFrame, as_of, days: int) -> DataFrame:
 
 def online_metrics(events: DataFrame, as_of, days: int = 1, by: list[str] | None = None) -> DataFrame:
     """Searches, click-through, zero-result and reformulation rates, p95 latency."""
-    return since(events, as_of, days).groupBy(*(by or [])).agg(
+    recent, keys = since(events, as_of, days), by or []
+    rates = recent.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_searches"),
         _rate(clicked_any()).alias("ctr"),
         _rate(F.col("n_results") == 0).alias("zero_result_rate"),
         _rate(F.col("reformulated")).alias("reformulation_rate"),
-        F.percentile_approx("latency_ms", 0.95).alias("p95_latency"),
     )
+    # Exact at any size: the value at the nearest rank.
+    p95 = value_at_rank(recent, keys, "latency_ms", {"p95_latency": lambda n: F.ceil(n * 95 / 100) - 1}).drop("n")
+    if not keys:
+        return rates.withColumn("p95_latency", p95.scalar())
+    same = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
+    named = p95.withColumnsRenamed({k: f"_p_{k}" for k in keys})
+    return rates.join(named, same, "left").drop(*[f"_p_{k}" for k in keys])
 
 
 def category_ctr(events: DataFrame, as_of, limits: Limits = Limits(), days: int = 7) -> DataFrame:
@@ -71,7 +78,7 @@ def reformulated(events: DataFrame, gap_seconds: int = 600) -> DataFrame:
 
     Sessions are cut into time cells as wide as the gap, so a busy session is
     spread over its cells. The next search is either in the same cell or the
-    earliest of the following one.
+    earliest of the following one. A search without a session is never flagged.
     """
     micros = F.unix_micros("event_ts")
     gap = gap_seconds * 1_000_000
@@ -82,7 +89,7 @@ def reformulated(events: DataFrame, gap_seconds: int = 600) -> DataFrame:
     return (
         cells.withColumn("_next", F.lead("_t").over(order))
         .join(following, ["session_id", "_cell"], "left")
-        .withColumn("reformulated", F.coalesce(upcoming - F.col("_t") <= gap, F.lit(False)))
+        .withColumn("reformulated", F.col("session_id").isNotNull() & F.coalesce(upcoming - F.col("_t") <= gap, F.lit(False)))
         .drop("_t", "_cell", "_next", "_later")
     )
 
@@ -133,12 +140,19 @@ def sync_record(index_name: str, vectors: DataFrame, synced_at) -> DataFrame:
     )
 
 
-def freshness(log: DataFrame, as_of, ts: str, by: list[str] | None = None, limits: Limits = Limits()) -> DataFrame:
-    """Hours since the newest entry; over the limit is a warning, over four times high."""
+def freshness(
+    log: DataFrame, as_of, ts: str, by: list[str] | None = None, limits: Limits = Limits(), expected: DataFrame | None = None
+) -> DataFrame:
+    """Hours since the newest entry; over the limit is a warning, over four times high.
+
+    ``expected`` has the ``by`` columns of all entries there should be; one that was never logged is reported as ``no_index``.
+    """
     hours = F.col("hours")
+    newest = log.groupBy(*(by or [])).agg(F.max(ts).alias("last_at"))
+    if expected is not None:
+        newest = expected.select(*by).distinct().join(newest, by, "left").unionByName(newest.join(expected, by, "left_anti"))
     return (
-        log.groupBy(*(by or []))
-        .agg(F.max(ts).alias("last_at"))
+        newest
         .withColumn("hours", whole_hours("last_at", F.lit(as_of).cast("timestamp")))
         .withColumn("kind", F.when(F.col("last_at").isNull(), "no_index").otherwise("index_stale"))
         .withColumn(
@@ -194,16 +208,16 @@ def recent_events(events: DataFrame, last: int = 20) -> DataFrame:
     )
 
 
-def _rules(measured: DataFrame, subject: str | None, *rules: tuple[Column | str, Column | str, str, Column, str]) -> DataFrame:
-    """Fired rules ``(kind, severity, value, condition, hint)`` over one measurement, in one pass."""
+def _rules(measured: DataFrame, subject: str | None, *rules: tuple[Column | str, Column | str, str, Column]) -> DataFrame:
+    """Fired rules ``(kind, severity, value, condition)`` over one measurement, in one pass."""
     lift = lambda c: F.lit(c) if isinstance(c, str) else c
     about = F.col(subject).cast("string") if subject else F.lit(None).cast("string")
     entries = [
         F.struct(
             lift(kind).alias("kind"), lift(severity).alias("severity"), F.col(value).cast("double").alias("value"),
-            about.alias("subject"), F.lit(hint).alias("hint"), F.coalesce(condition, F.lit(False)).alias("fired"),
+            about.alias("subject"), F.coalesce(condition, F.lit(False)).alias("fired"),
         )
-        for kind, severity, value, condition, hint in rules
+        for kind, severity, value, condition in rules
     ]
     return measured.select(F.inline(F.array(*entries))).where("fired").drop("fired")
 
@@ -222,41 +236,36 @@ def alerts(
 
     The measurements are aggregates, a handful of rows each.
     """
-    always, severity = F.lit(True), F.col("severity")
+    severity = F.col("severity")
     parts: list[DataFrame] = []
     if online is not None:
         parts.append(_rules(
             online, None,
-            ("low_ctr", "high", "ctr", F.col("ctr") < limits.min_ctr, "results do not match intent"),
-            ("zero_results", "high", "zero_result_rate", F.col("zero_result_rate") > limits.max_zero_rate,
-             "filters too strict or a category without stock"),
-            ("high_reformulation", "warning", "reformulation_rate",
-             F.col("reformulation_rate") > limits.max_reformulation_rate, "the first result set is often wrong"),
-            ("latency", "high", "p95_latency", F.col("p95_latency") > limits.max_p95_ms, "serving is slower than its budget"),
+            ("low_ctr", "high", "ctr", F.col("ctr") < limits.min_ctr),
+            ("zero_results", "high", "zero_result_rate", F.col("zero_result_rate") > limits.max_zero_rate),
+            ("high_reformulation", "warning", "reformulation_rate", F.col("reformulation_rate") > limits.max_reformulation_rate),
+            ("latency", "high", "p95_latency", F.col("p95_latency") > limits.max_p95_ms),
         ))
     if categories is not None:
-        parts.append(_rules(categories, "category", (
-            "category_ctr_low", "warning", "ctr", always, "this category fails while the average looks fine")))
+        parts.append(_rules(categories, "category", ("category_ctr_low", "warning", "ctr", F.lit(True))))
     if shift is not None:
-        parts.append(_rules(shift, "query_condition", (
-            "query_distribution_drift", "warning", "shift", F.col("shift") > limits.max_condition_shift,
-            "queries no longer look as before")))
+        shifted = F.col("shift") > limits.max_condition_shift
+        parts.append(_rules(shift, "query_condition", ("query_distribution_drift", "warning", "shift", shifted)))
     if fresh is not None:
-        parts.append(_rules(fresh, "index_name" if "index_name" in fresh.columns else None, (
-            F.col("kind"), severity, "hours", severity.isNotNull(), "search may return products that are gone")))
+        subject = "index_name" if "index_name" in fresh.columns else None
+        parts.append(_rules(fresh, subject, (F.col("kind"), severity, "hours", severity.isNotNull())))
     if covered is not None:
-        parts.append(_rules(covered, None, (
-            "incomplete_index", severity, "coverage", severity.isNotNull(), "some products cannot be found")))
+        parts.append(_rules(covered, None, ("incomplete_index", severity, "coverage", severity.isNotNull())))
     if trend is not None:
         newest = trend.groupBy("model_name").agg(F.max_by(F.struct("delta", "degraded"), "evaluated_at").alias("_l"))
-        parts.append(_rules(newest.select("model_name", "_l.*"), "model_name", (
-            "champion_degraded", "high", "delta", F.col("degraded"), "quality fell between evaluations")))
+        last = newest.select("model_name", "_l.*")
+        parts.append(_rules(last, "model_name", ("champion_degraded", "high", "delta", F.col("degraded"))))
     if not parts:
         raise ValueError("no measurement given")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.withColumn("payload", F.to_json(F.struct("kind", "severity", "value", "subject", "hint"))).withColumn(
+    return out.withColumn("payload", F.to_json(F.struct("kind", "severity", "value", "subject"))).withColumn(
         "raised_at", F.lit(as_of).cast("timestamp")
     )
 

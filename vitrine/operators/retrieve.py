@@ -101,10 +101,9 @@ def restrict_or_open(items: DataFrame, catalogue: DataFrame, open_key: str = "*"
     join, which drops keys that one side lacks.
     """
     known = catalogue.select("category").distinct().withColumn("_known", F.lit(True))
-    scoped_items = items.join(known, "category", "left").withColumn(
-        "scope", F.when(F.col("_known"), F.col("category")).otherwise(open_key)
-    ).drop("_known")
-    scoped_catalogue = catalogue.withColumn("scope", F.explode(F.array("category", F.lit(open_key))))
+    own = F.concat(F.lit("="), F.col("category"))  # no category is spelled like the open scope
+    scoped_items = items.join(known, "category", "left").withColumn("scope", F.when(F.col("_known"), own).otherwise(open_key)).drop("_known")
+    scoped_catalogue = catalogue.withColumn("scope", F.explode(F.array(own, F.lit(open_key))))
     return scoped_items, scoped_catalogue
 
 
@@ -114,15 +113,15 @@ def multi_item_search(items: DataFrame, catalogue: DataFrame, k: int = 12, **blo
     ``items`` carries ``image_id, item_index, category, embedding``. A garment of
     an unknown or missing category searches everything.
     """
-    keyed = items.withColumn("query_id", F.struct("image_id", "item_index"))
     ids = items.schema["image_id"].dataType.simpleString()
-    text_id = F.concat_ws("#", F.col("image_id").cast("string"), F.col("item_index").cast("string"))
-    scoped, products = restrict_or_open(keyed.withColumn("query_id", text_id), catalogue)
+    # The number comes first: whatever follows the first sign is the image.
+    text_id = F.concat_ws("#", F.col("item_index").cast("string"), F.col("image_id").cast("string"))
+    scoped, products = restrict_or_open(items.withColumn("query_id", text_id), catalogue)
     ranked = exact_topk(scoped, products, k, by=["scope"], **blocks)
-    parts = F.split("query_id", "#")
+    parts = F.split("query_id", "#", 2)
     return ranked.select(
-        F.element_at(parts, 1).cast(ids).alias("image_id"),
-        F.element_at(parts, 2).cast("int").alias("item_index"),
+        F.element_at(parts, 2).cast(ids).alias("image_id"),
+        F.element_at(parts, 1).cast("int").alias("item_index"),
         "rank", "product_id", "score",
     )
 

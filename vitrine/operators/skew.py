@@ -49,10 +49,12 @@ def rank_in_groups(
         .drop("_n")
     )
     local = tagged.withColumn("_row", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    # Null keys and null buckets keep their rows.
+    named = offsets.withColumnsRenamed({c: f"_of_{c}" for c in part})
     return (
-        local.join(offsets, part)
+        local.join(named, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part])
         .withColumn(name, (F.col("_row") + F.col("_offset")).cast("int"))
-        .drop("_row", "_offset", "_bucket")
+        .drop("_row", "_offset", "_bucket", *[f"_of_{c}" for c in part])
     )
 
 
@@ -94,7 +96,10 @@ def value_at_rank(
             (F.col("_t.pos") - (F.col("_upto") - F.col("_n"))).alias("_within"),
         )
     )
-    inside = counts.join(wanted, [*keys, "_cell"]).withColumn(
+    place = [*keys, "_cell"]
+    named = wanted.withColumnsRenamed({c: f"_of_{c}" for c in place})
+    found = counts.join(named, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in place])
+    inside = found.withColumn(
         "_cum",
         F.sum("_n").over(
             Window.partitionBy(*keys, "_target").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import CATEGORIES
-from ..operators import curate, infer, skew
+from ..operators import curate, infer
 from ..sources import pairs as pair_source, runs
 from .inputs import AS_OF, DIM, RUN
 from .registry import query, rounded
@@ -144,19 +144,12 @@ def _judgments(i):
 @query(
     "eval_set",
     f"""
-SELECT post_id, category, 0 AS chunk, array_to_string(list_sort(list(product_id)), ',') AS relevant_ids, count(*)::DOUBLE AS total_grade,
-       'styled_post' AS query_condition, 'unknown' AS size_band, 'unknown' AS occlusion
-FROM ({_HELD_OUT}) h GROUP BY post_id, category""",
+SELECT DISTINCT post_id, category, product_id, 1.0::DOUBLE AS grade, 'styled_post' AS query_condition, 'unknown' AS size_band, 'unknown' AS occlusion
+FROM ({_HELD_OUT}) h""",
 )
 def eval_set(i):
-    nested = curate.nest_judgments(
-        _judgments(i), ["post_id", "category", "query_condition", "size_band", "occlusion"]
-    )
-    total = F.aggregate(F.map_values("relevance_map"), F.lit(0.0), lambda a, g: a + g)
-    return nested.select(
-        "post_id", "category", "chunk", F.array_join("relevant_ids", ",").alias("relevant_ids"),
-        total.alias("total_grade"), "query_condition", "size_band", "occlusion",
-    )
+    """One row per judgment, whatever the size of a query's relevant set."""
+    return _judgments(i).select("post_id", "category", "product_id", "grade", "query_condition", "size_band", "occlusion").distinct()
 
 
 @query(
@@ -221,7 +214,7 @@ SELECT pair_id, product_id, post_id FROM ({_CLICKS.replace('SELECT concat', 'SEL
 ORDER BY event_ts DESC, post_id, product_id LIMIT 500""",
 )
 def click_harvest(i):
-    """The newest 500 click pairs: one run's capped harvest."""
+    """A top list: the newest 500 click pairs. ``click_pairs`` has them all."""
     return curate.click_pairs(i.events(), i.products(), AS_OF, max_pairs=500).select("pair_id", "product_id", "post_id")
 
 
@@ -309,10 +302,8 @@ def rebuild_eval(i):
 
 @query(
     "post_links",
-    """
-SELECT post_id, 0 AS chunk, array_to_string(list_sort(list(product_id)), ',') AS linked_products FROM f_post_products GROUP BY post_id""",
+    "SELECT post_id, product_id FROM f_post_products",
 )
 def post_links(i):
-    """The array form of posts, in bounded chunks."""
-    nested = skew.nest_in_chunks(i.post_products(), ["post_id"], "product_id", "linked_products")
-    return nested.withColumn("linked_products", F.array_join("linked_products", ","))
+    """Posts and their products in long form; ``skew.nest_in_chunks`` makes arrays at an edge that wants them."""
+    return i.post_products().select("post_id", "product_id")

@@ -6,7 +6,7 @@ Every input exists twice: as a DataFrame here and as a DuckDB query in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import monitor
@@ -81,15 +81,15 @@ class Inputs:
 
     def _mixed(self, factor: str) -> DataFrame:
         """Catalogue rows with a multiple of another vector added."""
-        # The partner is one of 500 ids, so this side has at most 500 rows.
-        partners = (
-            self.catalogue()
-            .where(F.col("product_id") < 500)
-            .select(F.col("product_id").alias("partner"), F.col("embedding").alias("other"))
-        )
-        a = self.catalogue().withColumn("partner", F.expr("(product_id * 37 + 11) % 500"))
-        added = F.expr(f"zip_with(embedding, other, (x, y) -> x + {factor} * y)")
-        return a.join(F.broadcast(partners), "partner").withColumn("embedding", added).drop("partner", "other")
+        partners = self.catalogue().select(F.col("product_id").alias("partner"), F.col("embedding").alias("other"))
+        a = self.catalogue().withColumn("_n", self.id_count("embeddings", "vec_id"))
+        a = a.withColumn("partner", F.expr("(product_id * 37 + 11) % _n"))
+        added = F.expr(f"coalesce(zip_with(embedding, other, (x, y) -> x + {factor} * y), embedding)")
+        return a.join(partners, "partner", "left").withColumn("embedding", added).drop("partner", "other", "_n")
+
+    def id_count(self, name: str, key: str) -> Column:
+        """One more than the largest id of a table, as a scalar subquery."""
+        return self.raw(name).agg(F.max(key) + 1).scalar()
 
     def near_copies(self) -> DataFrame:
         return self._mixed("0.15D").selectExpr("product_id + 1000000 AS product_id", "category", "embedding")
@@ -112,13 +112,13 @@ class Inputs:
         """Own product 1.0; a second one at 0.5 for some; queries of label 9 are unjudged."""
         judged = self.catalogue().where("label <> 9")
         own = judged.selectExpr("product_id AS query_id", "product_id", "1.0D AS grade")
-        similar = judged.where("label < 3").selectExpr(
-            "product_id AS query_id", "(product_id + 10) % 500 AS product_id", "0.5D AS grade"
+        similar = judged.where("label < 3").withColumn("_n", self.id_count("embeddings", "vec_id")).selectExpr(
+            "product_id AS query_id", "(product_id + 10) % _n AS product_id", "0.5D AS grade"
         )
         return own.unionByName(similar)
 
     def events(self) -> DataFrame:
-        return self.raw("events").selectExpr(*EVENT_COLUMNS)
+        return self.raw("events").withColumn("_n", self.id_count("part", "p_partkey")).selectExpr(*EVENT_COLUMNS)
 
     def flagged_events(self) -> DataFrame:
         return monitor.reformulated(self.events())
@@ -194,8 +194,8 @@ EVENT_COLUMNS = [
     "WHEN 4 THEN 'shoes' WHEN 5 THEN 'bag' ELSE 'hat' END AS selected_category",
     "CASE WHEN event_id % 2 = 0 THEN 'v1' ELSE 'v2' END AS model_version",
     "transform(filter(sequence(0, 11), i -> i < (CASE WHEN event_type = 'error' THEN 0 ELSE 4 + event_id % 9 END)), "
-    "i -> cast((event_id * 7 + i * 13) % 500 AS bigint)) AS results_shown",
-    "CASE WHEN event_type IN ('click', 'purchase') THEN array(cast((event_id * 7 + (event_id % 4) * 13) % 500 AS bigint)) "
+    "i -> cast((event_id * 7 + i * 13) % _n AS bigint)) AS results_shown",
+    "CASE WHEN event_type IN ('click', 'purchase') THEN array(cast((event_id * 7 + (event_id % 4) * 13) % _n AS bigint)) "
     "ELSE cast(array() AS array<bigint>) END AS clicked",
     "value * 2 AS latency_ms",
     "cast(CASE WHEN event_type = 'error' THEN 0 ELSE 4 + event_id % 9 END AS int) AS n_results",
@@ -210,7 +210,7 @@ def _mixed_sql(factor: str) -> str:
     return (
         "SELECT a.* EXCLUDE (embedding), list_transform(list_zip(a.embedding, b.embedding), "
         f"lambda z: z[1] + {factor} * z[2]) AS embedding "
-        "FROM f_catalogue a JOIN f_catalogue b ON b.product_id = (a.product_id * 37 + 11) % 500"
+        "FROM f_catalogue a JOIN f_catalogue b ON b.product_id = (a.product_id * 37 + 11) % (SELECT max(vec_id) + 1 FROM embeddings)"
     )
 
 
@@ -244,19 +244,19 @@ FROM ({_mixed_sql('(floor(a.product_id / 10)::INT % 5) * 0.6::DOUBLE')}) m""",
     "f_relevance": """
 SELECT product_id AS query_id, product_id, 1.0::DOUBLE AS grade FROM f_catalogue WHERE label <> 9
 UNION ALL
-SELECT product_id, (product_id + 10) % 500, 0.5::DOUBLE FROM f_catalogue WHERE label < 3""",
+SELECT product_id, (product_id + 10) % (SELECT max(vec_id) + 1 FROM embeddings), 0.5::DOUBLE FROM f_catalogue WHERE label < 3""",
     "f_events": """
 SELECT event_id, ts AS event_ts, user_id AS session_id,
        CASE WHEN event_id % 6 = 0 THEN NULL ELSE concat('q/', event_id) END AS query_image,
        CASE event_id % 7 WHEN 0 THEN 'top' WHEN 1 THEN 'bottom' WHEN 2 THEN 'outer' WHEN 3 THEN 'dress'
             WHEN 4 THEN 'shoes' WHEN 5 THEN 'bag' ELSE 'hat' END AS selected_category,
        CASE WHEN event_id % 2 = 0 THEN 'v1' ELSE 'v2' END AS model_version,
-       list_transform(range(CASE WHEN event_type = 'error' THEN 0 ELSE 4 + event_id % 9 END), lambda i: (event_id * 7 + i * 13) % 500) AS results_shown,
-       CASE WHEN event_type IN ('click', 'purchase') THEN [(event_id * 7 + (event_id % 4) * 13) % 500] ELSE []::BIGINT[] END AS clicked,
+       list_transform(range(CASE WHEN event_type = 'error' THEN 0 ELSE 4 + event_id % 9 END), lambda i: (event_id * 7 + i * 13) % _n) AS results_shown,
+       CASE WHEN event_type IN ('click', 'purchase') THEN [(event_id * 7 + (event_id % 4) * 13) % _n] ELSE []::BIGINT[] END AS clicked,
        value * 2 AS latency_ms, (CASE WHEN event_type = 'error' THEN 0 ELSE 4 + event_id % 9 END)::INT AS n_results,
        CASE WHEN ts >= TIMESTAMP '2024-01-24 00:00:00' AND event_id % 2 = 0 THEN 'phone_photo'
             WHEN event_id % 3 = 0 THEN 'screenshot' ELSE 'styled_post' END AS query_condition
-FROM events""",
+FROM events, (SELECT max(p_partkey) + 1 AS _n FROM part)""",
     "f_flagged_events": """
 SELECT *, coalesce(epoch_us(lead(event_ts) OVER (PARTITION BY session_id ORDER BY event_ts, event_id)) - epoch_us(event_ts) <= 600000000, false) AS reformulated
 FROM f_events""",

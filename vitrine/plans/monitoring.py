@@ -23,7 +23,7 @@ round(reformulation_rate, 6) + 0 AS reformulation_rate, round(p95_latency, 6) AS
 @query("online_metrics", f"SELECT {_ONLINE_ROUNDED} FROM ({_ONLINE}) t")
 def online_metrics(i):
     return rounded(
-        monitor.online_metrics(i.flagged_events(), AS_OF), "ctr", "zero_result_rate", "reformulation_rate", "p95_latency"
+        monitor.online_metrics(monitor.reformulated(monitor.since(i.events(), AS_OF, 1)), AS_OF), "ctr", "zero_result_rate", "reformulation_rate", "p95_latency"
     )
 
 
@@ -153,7 +153,7 @@ SELECT kind, severity, round(value, 6) + 0 AS value, subject FROM (
 def alerts(i):
     raised = monitor.alerts(
         AS_OF,
-        online=monitor.online_metrics(i.flagged_events(), AS_OF),
+        online=monitor.online_metrics(monitor.reformulated(monitor.since(i.events(), AS_OF, 1)), AS_OF),
         categories=monitor.category_ctr(i.events(), AS_OF, LIMITS),
         shift=monitor.distribution_shift(i.events(), AS_OF),
         fresh=monitor.freshness(i.index_syncs(), AS_OF, "synced_at", ["index_name"]),
@@ -314,5 +314,5 @@ def drift_report(i):
         ),
         "snapshots",
     )
-    report = drift.drift_report(*drift.newest_two(log)).drop("hint")
+    report = drift.drift_report(*drift.newest_two(log))
     return report.withColumn("value", F.col("value") + F.lit(0.0))

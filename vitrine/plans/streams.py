@@ -17,7 +17,9 @@ def table_stream(i: Inputs, name: str) -> DataFrame:
 
 
 def event_stream(i: Inputs) -> DataFrame:
-    return table_stream(i, "events").selectExpr(*EVENT_COLUMNS)
+    # A stream takes the number of products as a value, read once.
+    n = i.raw("part").agg(F.max("p_partkey") + 1).first()[0]
+    return table_stream(i, "events").withColumn("_n", F.lit(n)).selectExpr(*EVENT_COLUMNS)
 
 
 @query(
