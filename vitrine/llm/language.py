@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 from .common import slices, stored, texts, with_fields
 
 #: Most labelled rows that are learned from, by a hash of id and text.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 5_000
 #: Most words, and most n-grams of all lengths, that a model knows: the most frequent ones. They bound what is broadcast.
 KNOWN_WORDS, KNOWN_GRAMS = 50_000, 60_000
 LONGEST = 5
 SMOOTHING = 0.5
 #: A worker forgets the words it has scored when it holds this many.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -55,7 +55,7 @@ class Model:
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
             found = [self.grams[g] for g in word_grams(word, n) if g in self.grams]
             if found:
-                return np.mean(found, 0)
+                return sum(found[1:], found[0]) / len(found)
         return np.zeros(len(self.languages))
 
 
@@ -63,21 +63,27 @@ class Predictor:
     """Scores whole texts; words are scored once and kept."""
 
     def __init__(self, model: Model):
-        self.model, self.rows, self.place = model, [], {}
+        self.model, self.place = model, {}
+        self.rows = np.zeros((1 << 12, len(model.languages) + 1))  # log frequencies, and 1 if the word has a letter
+
+    def _learn(self, words: set[str]) -> None:
+        while len(self.place) + len(words) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        for word in words:
+            at = self.place[word] = len(self.place)
+            self.rows[at, :-1] = self.model.score(word)
+            self.rows[at, -1] = any(map(str.isalpha, word))
 
     def predict(self, text: str) -> tuple[str, float]:
         found = WORD.findall(text.lower())
-        place = self.place
-        if len(place) > CACHED_WORDS:
-            place.clear()
-            self.rows = []
-        for word in set(found) - place.keys():
-            place[word] = len(self.rows)
-            self.rows.append(np.append(self.model.score(word), any(c.isalpha() for c in word)))
         if not found or not self.model.languages:
             return UNDETERMINED, 0.0
-        used = Counter(found)
-        total = np.array([self.rows[place[w]] for w in used]).T @ np.array(list(used.values()), float)
+        new = set(found).difference(self.place)
+        if len(self.place) + len(new) > CACHED_WORDS:
+            self.place.clear()
+            new = set(found)
+        self._learn(new)
+        total = self.rows.take(np.fromiter(map(self.place.__getitem__, found), np.int64, len(found)), axis=0).sum(0)
         if not total[-1]:
             return UNDETERMINED, 0.0
         logs = total[:-1]
@@ -102,17 +108,22 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 
 
 def _gram_counts(words: DataFrame) -> DataFrame:
+    def sent(counts: Counter) -> pa.RecordBatch:
+        keys = list(counts)
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for batch in batches:
-            counts: Counter = Counter()
             for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
                 for size in range(1, LONGEST + 1):
                     for gram in word_grams(word, size):
                         counts[lang, gram] += n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())],
-                ["lang", "word", "n"],
-            )
+            if len(counts) > CACHED_WORDS:
+                yield sent(counts)
+                counts = Counter()
+        yield sent(counts)
 
     return words.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -145,10 +156,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     code point wins. Repeated rows are scored alike; other columns are not read; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(Predictor(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = Predictor(shared.value)
+        predictor = shared.value  # one for each worker process, with the words it has scored
         for batch in slices(batches, "_text"):
             found = [predictor.predict(t) for t in texts(batch, "_text")]
             yield pa.RecordBatch.from_arrays(

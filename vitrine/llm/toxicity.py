@@ -23,7 +23,7 @@ LEXICON_TERMS, LEAST_TEXTS = 400, 4
 PREFIXES = (4, 5, 6)
 TREES, DEPTH, STEP, SEED = 24, 4, 0.2, 5
 CALIBRATION_PART = 4  # one in four training rows calibrates
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 WORD = re.compile(r"[^\W_]+")
 SIGNS = re.compile(r"[!?]+")
 SPACED = re.compile(r"(?<!\w)(?:\w[ .\-*]){3,}\w(?!\w)")
@@ -62,7 +62,7 @@ class Features:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         kinds = set(words)
-        for w in kinds - self.known.keys():
+        for w in kinds.difference(self.known):
             self.known[w] = self.weight(w)
         weights = np.fromiter(map(self.known.__getitem__, words), float, len(words))
         hits = np.flatnonzero(weights)
@@ -153,10 +153,10 @@ def score_toxicity(
     if kinds < 2:
         named = rows.select(F.col("_id").alias(id_col), held_out("_id").alias("held_out"))
         return named.withColumns({"score": F.lit(float(share or 0)), "predicted": F.lit(int((share or 0) >= 0.5))})
-    lexicon = spark.sparkContext.broadcast(learn_lexicon(rows, taught, "_text"))
+    shared = spark.sparkContext.broadcast(Features(learn_lexicon(rows, taught, "_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(lexicon.value)
+        features = shared.value  # one for each worker process, with the weights it has looked up
         for batch in slices(batches, "_text"):
             found = [[float(x) for x in features.of(t)] for t in texts(batch, "_text")]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(found, pa.list_(pa.float64()))], ["_id", "features"])
