@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact, language, licenses, mixing, neardup, quality, tokens, toxicity
+from . import decontaminate, exact, language, licenses, lines, mixing, neardup, quality, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +53,11 @@ def op4(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@query("op5_line_dedup")
+def op5(spark, sf_dir):
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 @query("op6_toxicity")
 def op6(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
