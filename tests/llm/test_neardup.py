@@ -139,3 +139,26 @@ def test_drop_keeps_one_whole_row_of_each_class(spark):
 def test_empty_table(spark):
     assert N.near_duplicates(docs(spark, [])).count() == 0
     assert N.drop_near_duplicates(docs(spark, [])).count() == 0
+
+
+def met(n_words, edits, pairs=300):
+    """The share of pairs that agree in a sample, of texts of some words of which a number, evenly spread, is replaced."""
+    rng = np.random.default_rng(n_words + edits)
+    texts = []
+    for k in range(pairs):
+        base = [f"p{k}w{x}" for x in rng.integers(0, 10**9, n_words)]
+        other = list(base)
+        for e in range(edits):
+            other[int((e + 0.5) * n_words / edits)] = f"n{e}"
+        texts += [" ".join(base).encode(), " ".join(other).encode()]
+    sketch = N.order_min_hash(*N.shingles(*hashed_words(texts)))
+    return (sketch[::2] == sketch[1::2]).any(1).mean()
+
+
+# The figures of near_duplicates() and the README, give or take a tenth.
+@pytest.mark.parametrize(
+    "words_, edits, least, most",
+    [(10, 1, 0, 0), (12, 1, 0.01, 0.21), (20, 1, 0.85, 1), (20, 2, 0.12, 0.32), (20, 4, 0, 0.1), (200, 10, 0.88, 1), (200, 20, 0.53, 0.73), (200, 30, 0, 0.18), (200, 40, 0, 0.1)],
+)
+def test_recall_by_edit_similarity_is_as_stated(words_, edits, least, most):
+    assert least <= met(words_, edits) <= most

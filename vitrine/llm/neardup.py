@@ -402,6 +402,9 @@ def near_duplicates(
     five-word shingles; a class is a connected group of similar texts. Texts with the same words are one class from the start.
     The smallest id of a class stays and names it, null ids last; exactly one row of a class is kept.
 
+    Pairs that never meet are missed, most of those near the limit: of 200-word texts with evenly spread replaced words 98 % meet at a
+    similarity of 0.95, 63 % at 0.9, 8 % at 0.85 and none of 300 pairs at 0.8; a 10-word text with one word in the middle replaced never does.
+
     Null texts and texts without words are one class. Texts of fewer than five words are one shingle. Repeated rows are
     copies. Other columns are not read. An empty table gives an empty result. Texts are processed whole.
     """
