@@ -44,6 +44,29 @@ def test_sessions_close_after_the_gap(spark, tmp_path):
     assert sorted((r["n_searches"], r["searched_again"]) for r in closed) == [(1, False), (2, True)]
 
 
+def test_open_sessions_complete_the_closed_ones(spark, tmp_path):
+    files = [[(1, "2024-01-01 01:00:00"), (2, "2024-01-01 01:20:00"), (3, "2024-01-01 03:00:00")], [(4, "2024-01-02 12:00:00")]]
+    stream = arrive(spark, str(tmp_path), files)
+    closed = logs.run_to_table(logs.sessions(stream, lateness="1 hour"), "sessions")
+    events = spark.read.parquet(*(str(tmp_path / f"part{n}") for n in range(2)))
+    whole = closed.unionByName(logs.open_sessions(events, closed, lateness="1 hour")).collect()
+    assert sorted((str(r["started"]), r["n_searches"]) for r in whole) == [("2024-01-01 01:00:00", 2), ("2024-01-01 03:00:00", 1), ("2024-01-02 12:00:00", 1)]
+
+
+def test_open_searches_complete_the_settled_ones(spark, tmp_path):
+    folders = [str(tmp_path / x) for x in "sc"]
+    searches = arrive(spark, folders[0], [[(1, "2024-01-01 01:00:00"), (2, "2024-01-01 01:00:00")], [(3, "2024-01-03 01:00:00"), (4, "2024-01-03 00:30:00")]])
+    clicks = arrive(spark, folders[1], [[(1, "2024-01-01 01:10:00")], [(4, "2024-01-03 00:40:00")]])
+    both = [(searches, clicks), [spark.read.parquet(f"{f}/part0", f"{f}/part1") for f in folders]]
+    (s, c), (all_s, all_c) = ((x.select("event_id", "event_ts"), y.select("event_id", F.lit(5).alias("product_id"), F.col("event_ts").alias("click_ts"))) for x, y in both)
+    joined = logs.run_to_table(logs.searches_with_clicks(s, c, lateness="1 hour"), "clicks")
+    whole = joined.unionByName(logs.open_searches(all_s, all_c, joined, lateness="1 hour")).collect()
+    assert sorted((r["event_id"], r["product_id"]) for r in whole) == [(1, 5), (2, None), (3, None), (4, 5)]
+    # Without clicks nothing has come out of the stream yet.
+    none = logs.open_searches(all_s, all_c.limit(0), joined.limit(0), lateness="1 hour").collect()
+    assert sorted((r["event_id"], r["product_id"]) for r in none) == [(1, None), (2, None), (3, None), (4, None)]
+
+
 def test_search_without_click_appears_after_its_time(spark, tmp_path):
     searches = arrive(spark, str(tmp_path / "s"), [[(1, "2024-01-01 01:00:00"), (2, "2024-01-01 01:00:00")], [(3, "2024-01-03 01:00:00")]])
     clicks = arrive(spark, str(tmp_path / "c"), [[(1, "2024-01-01 01:10:00"), (2, "2024-01-01 02:00:00")], [(4, "2024-01-03 01:00:00")]]).select(

@@ -71,6 +71,38 @@ def stream_clicks(i):
     return text_time(joined, "event_ts", "click_ts")
 
 
+@query(
+    "stream_sessions_whole",
+    """
+WITH marked AS (
+  SELECT session_id, event_ts, (event_ts >= lag(event_ts) OVER w + INTERVAL 30 MINUTE) IS NOT FALSE AS starts
+  FROM f_events WINDOW w AS (PARTITION BY session_id ORDER BY event_ts)),
+numbered AS (SELECT *, sum(starts::INT) OVER (PARTITION BY session_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS nth FROM marked),
+s AS (SELECT session_id, min(event_ts) AS started, max(event_ts) AS last_search, count(*) AS n_searches FROM numbered GROUP BY session_id, nth)
+SELECT session_id, strftime(started, '%Y-%m-%d %H:%M:%S') AS started, strftime(last_search, '%Y-%m-%d %H:%M:%S') AS last_search, n_searches,
+       n_searches > 1 AS searched_again
+FROM s""",
+)
+def stream_sessions_whole(i):
+    """All sessions: those that the stream has closed, and those still open by the batch form."""
+    closed = logs.run_to_table(logs.sessions(event_stream(i), lateness="2 hours"), "sessions")
+    return text_time(closed.unionByName(logs.open_sessions(i.events(), closed, lateness="2 hours")), "started", "last_search")
+
+
+@query(
+    "stream_clicks_whole",
+    """
+SELECT s.event_id, strftime(s.event_ts, '%Y-%m-%d %H:%M:%S') AS event_ts, c.product_id, strftime(c.click_ts, '%Y-%m-%d %H:%M:%S') AS click_ts
+FROM f_events s LEFT JOIN f_later_clicks c USING (event_id)""",
+)
+def stream_clicks_whole(i):
+    """All searches with their later clicks: those that the stream has settled, and the youngest ones by the batch form."""
+    later = ("event_id", "element_at(results_shown, 2) AS product_id", "event_ts + INTERVAL 4 MINUTES AS click_ts")
+    sides = [(e.select("event_id", "event_ts"), e.where("n_results > 1").selectExpr(*later)) for e in (event_stream(i), i.events())]
+    joined = logs.run_to_table(logs.searches_with_clicks(*sides[0], lateness="2 hours"), "clicks")
+    return text_time(joined.unionByName(logs.open_searches(*sides[1], joined, lateness="2 hours")), "event_ts", "click_ts")
+
+
 @query("stream_dedup", "SELECT event_id, session_id, n_results FROM f_events")
 def stream_dedup(i):
     """Every event is delivered twice and kept once."""

@@ -69,6 +69,31 @@ def searches_with_clicks(searches: DataFrame, clicks: DataFrame, within: str = "
     )
 
 
+def open_sessions(events: DataFrame, closed: DataFrame, gap: str = "30 minutes", lateness: str = "1 day") -> DataFrame:
+    """Batch: the sessions of ``events`` that ``closed``, the sink of ``sessions``, does not have yet.
+
+    Only users with a search past the watermark, less one gap, are read again, with all their searches.
+    """
+    mark = events.agg(F.max("event_ts").alias("_newest"))
+    recent = events.crossJoin(F.broadcast(mark)).where(F.expr(f"event_ts >= _newest - INTERVAL {lateness} - INTERVAL {gap}"))
+    users = recent.select(F.col("session_id").alias("_user")).distinct()
+    again = sessions(events.join(users, F.col("session_id").eqNullSafe(F.col("_user")), "left_semi"), gap, lateness)
+    had = closed.select(F.col("session_id").alias("_user"), F.col("started").alias("_started"))
+    return again.join(had, F.col("session_id").eqNullSafe(F.col("_user")) & (F.col("started") == F.col("_started")), "left_anti")
+
+
+def open_searches(searches: DataFrame, clicks: DataFrame, joined: DataFrame, within: str = "30 minutes", lateness: str = "1 day") -> DataFrame:
+    """Batch: the searches, with clicks if any, that ``joined``, the sink of ``searches_with_clicks``, does not have yet.
+
+    Without any click the watermark has not moved, so all searches are looked at.
+    """
+    newest = searches.agg(F.max("event_ts").alias("_s")).crossJoin(clicks.agg(F.max("click_ts").alias("_c")))
+    # One second more than the bound; the anti-join drops what has come out.
+    past = F.expr(f"event_ts >= least(_s, _c) - INTERVAL {lateness} - INTERVAL {within} - INTERVAL 1 second")
+    recent = searches.crossJoin(F.broadcast(newest)).where(F.col("_c").isNull() | past).drop("_s", "_c")
+    return searches_with_clicks(recent, clicks, within, lateness).join(joined.select("event_id"), "event_id", "left_anti")
+
+
 def once_per_event(events: DataFrame, lateness: str = "1 day", key: str = "event_id") -> DataFrame:
     """Drop repeated deliveries of an event within the watermark."""
     return events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark([key])
