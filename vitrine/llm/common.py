@@ -50,6 +50,23 @@ def running_sum(df: DataFrame, order: list[Column], value: Column, purpose: str)
     )
 
 
+def numbered(df: DataFrame, order: list[str], purpose: str, name: str = "_number") -> DataFrame:
+    """Adds a number from 0 without gaps in the order of ``order``, and writes the rows.
+
+    Like ``running_sum`` it numbers ranges, so a group that leads the order, however large, spreads
+    over many tasks. Rows that are equal in ``order`` come in any order among themselves, once and
+    for all, since the rows are read back from the written table.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), purpose)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    shifts = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    counted = ranged.withColumn("_inside", inside).join(F.broadcast(shifts), "_part")
+    return stored(counted.withColumn(name, F.col("_inside") + F.col("_shift") - 1).drop("_part", "_inside", "_shift"), f"{purpose}-numbers")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut into runs of rows with about ``limit`` bytes of text, so that working memory does not
     follow the batch size. A single longer text is a slice of its own."""

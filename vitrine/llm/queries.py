@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact, language, licenses, lines, mixing, neardup, quality, tokens, toxicity
+from . import chat, decontaminate, exact, language, licenses, lines, mixing, neardup, quality, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,15 @@ def op9(spark, sf_dir):
 @query("op10_language")
 def op10(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op11_chat_format", chat.SQL)
+def op11(spark, sf_dir):
+    rows = chat.with_minus_one(spark, table(spark, sf_dir, "conversations"))
+    back = chat.read_back(chat.format_conversations(rows))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
