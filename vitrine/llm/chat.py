@@ -11,8 +11,8 @@ them starts a code, and replacing the codes, the backslash last, gives the origi
 
 A conversation table is a forest of chains: a row replies to the row before it (``linked``).
 
-Defined cases: null texts and roles are empty; rows are taken by turn, null turns first, then by role and text hash;
-equal rows stay, each a turn of its own; null ids are one conversation; a message whose parent is missing or belongs to
+Defined cases: null texts and roles are empty; rows are taken by turn, null turns first, then by role, the text's
+first 16 characters and its hash; equal rows stay, each a turn of its own; null ids are one conversation; a message whose parent is missing or belongs to
 another tree is a root; messages in a circle of replies reach no root and are in no path. Empty tables give no rows.
 Other columns are ignored, whatever their names. A formatted path is one row, so one path has to fit a task.
 """
@@ -47,9 +47,9 @@ def linked(conversations: DataFrame) -> DataFrame:
     """
     slim = conversations.select(
         F.col("conv_id").alias("tree"), "turn", F.coalesce("role", F.lit("")).alias("role"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"),
+        F.substring(F.coalesce("text", F.lit("")), 1, 16).alias("start"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"),
     )
-    rows = numbered(slim, ["tree", "turn", "role", "hash"], "chat", "node")
+    rows = numbered(slim, ["tree", "turn", "role", "start", "hash"], "chat", "node")
     before = rows.select((F.col("node") + 1).alias("_node"), F.col("tree").alias("_tree"), F.col("node").alias("parent"))
     chained = rows.join(before, (F.col("node") == F.col("_node")) & F.col("tree").eqNullSafe(F.col("_tree")), "left")
     return chained.select("tree", "node", "parent", F.struct("turn", "role", "hash").alias("key"), F.lit(1.0).alias("score"))

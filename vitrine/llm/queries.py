@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, exact, language, licenses, lines, mixing, neardup, quality, tokens, toxicity
+from . import chat, decontaminate, exact, language, licenses, lines, mixing, neardup, quality, repair, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,13 @@ def op11(spark, sf_dir):
         F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op12_structure_repair")
+def op12(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    fixed = repair.repair(repair.damage(rows), rows)
+    return fixed.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2("repaired", 256).alias("repaired_sha256"),
+    )
