@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, exact, language, licenses, lines, mixing, neardup, quality, repair, tokens, toxicity
+from . import chat, decontaminate, exact, hardneg, language, licenses, lines, mixing, neardup, quality, repair, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,10 @@ def op12(spark, sf_dir):
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
         F.sha2("repaired", 256).alias("repaired_sha256"),
     )
+
+
+@query("op13_hard_negatives", hardneg.SQL)
+def op13(spark, sf_dir):
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hardneg.integer_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", noisy)
+    return hardneg.mine(rows, rows.where("id % 50 = 0")).drop("positive_rank")
