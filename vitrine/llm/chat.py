@@ -105,9 +105,12 @@ def reply_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     )
     listed = stored(chosen.withColumns({"place": F.lit(0).cast("long"), "node": F.col("path")}), "chat-paths")
     for k in reversed(range(len(levels))):
-        up = levels[k].select("node", "up")
-        higher = listed.join(up, "node").withColumns({"node": F.col("up"), "place": F.col("place") + 2**k}).drop("up")
-        listed = listed.unionByName(higher)
+        # A row and the one it leads to come from one join: a union of both would double the plan at every level.
+        here = F.struct("place", "node")
+        further = F.when(F.col("up").isNotNull(), F.struct((F.col("place") + 2**k).alias("place"), F.col("up").alias("node")))
+        both = F.explode(F.array_compact(F.array(here, further))).alias("_at")
+        joined = listed.join(levels[k].select("node", "up"), "node", "left")
+        listed = joined.select("tree", "path", "rank", "branch_score", both).select("tree", "path", "rank", "branch_score", "_at.*")
     return listed.select("tree", "path", "rank", "branch_score", "place", "node")
 
 
