@@ -50,12 +50,22 @@ def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     return q @ c.T
 
 
-def _prepare(table: pa.Table, vector: str, metric: str) -> tuple[np.ndarray, np.ndarray]:
+def _sign_words(m: np.ndarray) -> np.ndarray:
+    """One bit per component, packed into words of 64."""
+    bits = np.packbits(m > 0, axis=1)
+    return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64)
+
+
+def _prepare(table: pa.Table, vector: str, metric: str, view: tuple[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     m = _matrix(table, vector)
+    if view is not None:
+        m = m[:, : view[1]]
+        if view[0] == "signs":
+            m = _sign_words(m)
     if metric == "cosine":
         return _unit_rows(m)
     if metric == "hamming":
-        return m.astype(np.int64), np.arange(len(m))
+        return m.astype(np.uint64), np.arange(len(m))  # bit counts of signed words would be those of their absolute value
     return m.astype(np.float64), np.arange(len(m))
 
 
@@ -96,6 +106,19 @@ def _best_per_row(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, n
     return rows[keep], cols[keep], vals[keep]
 
 
+def _cosines(q: np.ndarray, c: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Cosine of the listed pairs, a bounded number at a time; 0 where a vector is zero."""
+    q, c = q.astype(np.float64), c.astype(np.float64)
+    norms = [np.sqrt(np.einsum("ij,ij->i", m, m)) for m in (q, c)]
+    out = np.zeros(len(rows))
+    step = max(1, _TILE_CELLS // max(1, q.shape[1]))
+    for start in range(0, len(rows), step):
+        i, j = rows[start : start + step], cols[start : start + step]
+        length = norms[0][i] * norms[1][j]
+        out[start : start + step] = np.einsum("ij,ij->i", q[i], c[j]) / np.where(length > 0, length, 1)
+    return out
+
+
 def _blocks(rows: Column, per_block: int) -> Column:
     return F.ceil(rows / per_block).cast("int")
 
@@ -121,6 +144,8 @@ def block_topk(
     catalogue_block: int = CATALOGUE_BLOCK,
     small_limit: int = SMALL_TABLE_ROWS,
     within: str | None = None,
+    view: tuple[str, int] | None = None,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """(query, product, score): at most ``k`` survivors per query and catalogue block.
 
@@ -128,6 +153,10 @@ def block_topk(
     words). Rows without a vector take no part. Ids must be unique on each side
     of a key. ``within`` is a finer integer key that must agree as well; its many
     small groups are matched inside a block instead of being one task call each.
+
+    With ``view`` the survivors are chosen by a part of the vectors, (``prefix``, n) for their first n components or
+    (``signs``, n) for those components' signs, and ``full_score`` is their cosine over the whole vectors: the block
+    holds both, so nothing has to be joined to them later. ``carry`` names catalogue columns the survivors keep.
     ``merge_topk`` turns the result into the final ranking.
     """
     # Aliases give both sides columns of their own, even when they stem from one table.
@@ -136,8 +165,11 @@ def block_topk(
     q = queries.where(F.col(vector).isNotNull()).select(
         F.col(query_id).alias("_q"), *named, *finer, F.col(vector).alias("_v")
     )
+    carry = carry or []
+    kept_names = [f"_carry_{name}" for name in carry]
     c = catalogue.where(F.col(vector).isNotNull()).select(
-        F.col(product_id).alias("_p"), *named, *finer, F.col(vector).alias("_v")
+        F.col(product_id).alias("_p"), *named, *finer, F.col(vector).alias("_v"),
+        *[F.col(name).alias(kept) for name, kept in zip(carry, kept_names)],
     )
     keys = [f"_key_{k}" for k in keys]
     one, none = F.lit(1), F.lit(0)
@@ -160,17 +192,23 @@ def block_topk(
         c.join(sizes, keys)
         .withColumn("_cb", _block_of("_p", "_nc"))
         .withColumn("_qb", _every("_nq"))
-        .select("_p", *grid, *carried, "_v")
+        .select("_p", *grid, *carried, "_v", *kept_names)
     )
     out = StructType().add("query_id", q.schema["_q"].dataType).add("product_id", c.schema["_p"].dataType).add("score", "double")
     id_types = [f.type for f in _arrow_schema(q.select("_q"), c.select("_p"))]
+    names, types = ["query_id", "product_id", "score"], [*id_types, pa.float64()]
+    if view is not None:
+        out, names, types = out.add("full_score", "double"), [*names, "full_score"], [*types, pa.float64()]
+    for name, kept in zip(carry, kept_names):
+        out.add(name, c.schema[kept].dataType)
+    names, types = [*names, *carry], [*types, *(f.type for f in _arrow_schema(c.select(*kept_names)))]
 
     def score_block(left: pa.Table, right: pa.Table) -> pa.Table:
         found_q, found_p, found_s = [], [], []
         if left.num_rows and right.num_rows:
             right = right.take(pc.sort_indices(right.column("_p")))
-            qm, q_at = _prepare(left, "_v", metric)
-            cm, c_at = _prepare(right, "_v", metric)
+            qm, q_at = _prepare(left, "_v", metric, view)
+            cm, c_at = _prepare(right, "_v", metric, view)
             for q_rows, c_rows in _matches(left, right, q_at, c_at, ("_w", "_w") if within else None):
                 cells = max(1, len(c_rows)) * (cm.shape[1] if metric == "hamming" else 1)
                 tile = max(1, _TILE_CELLS // cells)
@@ -184,13 +222,11 @@ def block_topk(
         cols = np.concatenate(found_p) if found_p else np.empty(0, dtype=np.int64)
         vals = np.concatenate(found_s) if found_s else np.empty(0)
         if not len(rows):
-            return pa.table(
-                [pa.array([], t) for t in (*id_types, pa.float64())], names=["query_id", "product_id", "score"]
-            )
-        return pa.table(
-            [left.column("_q").take(pa.array(rows)), right.column("_p").take(pa.array(cols)), pa.array(vals)],
-            names=["query_id", "product_id", "score"],
-        )
+            return pa.table([pa.array([], t) for t in types], names=names)
+        made = [left.column("_q").take(pa.array(rows)), right.column("_p").take(pa.array(cols)), pa.array(vals)]
+        if view is not None:
+            made.append(pa.array(_cosines(_matrix(left, "_v"), _matrix(right, "_v"), rows, cols)))
+        return pa.table([*made, *(right.column(kept).take(pa.array(cols)) for kept in kept_names)], names=names)
 
     return q.groupBy(*grid).cogroup(c.groupBy(*grid)).applyInArrow(score_block, out)
 

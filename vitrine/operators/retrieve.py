@@ -76,6 +76,20 @@ def _rerank(candidates: DataFrame, queries: DataFrame, catalogue: DataFrame, k:
     return merge_topk(scored, k, ["vector_score"])
 
 
+def _best_of_recalled(partial: DataFrame, recall_k: int, final_k: int, weight: float) -> DataFrame:
+    """The best ``final_k`` by full score among each query's ``recall_k`` recalled products.
+
+    Both rankings share one shuffle by query, and both limits are applied to a task's rows before it.
+    """
+    business = F.coalesce(F.col("business_score"), F.lit(0.0)) if "business_score" in partial.columns else F.lit(0.0)
+    recalled = merge_topk(partial, recall_k, [c for c in ("full_score", "business_score") if c in partial.columns])
+    scored = recalled.select(
+        "query_id", "product_id", F.col("full_score").alias("vector_score"),
+        F.round((1 - weight) * F.col("full_score") + weight * business, SCORE_DIGITS).alias("score"),
+    )
+    return merge_topk(scored, final_k, ["vector_score"])
+
+
 def two_stage_search(
     queries: DataFrame,
     catalogue: DataFrame,
@@ -87,10 +101,14 @@ def two_stage_search(
     region: str | None = None,
     **blocks,
 ) -> DataFrame:
-    """Wide recall on truncated vectors, then a precise rerank of the survivors."""
+    """Wide recall on truncated vectors, then a precise rerank of the survivors.
+
+    A block scores its survivors with the whole vectors while it has them, so the rerank joins nothing.
+    """
     allowed = metadata_filter(catalogue, in_stock_only, region)
-    recalled = truncated_topk(queries, allowed, recall_k, recall_dim, **blocks)
-    return _rerank(recalled, queries, allowed, final_k, business_weight)
+    carry = ["business_score"] if "business_score" in catalogue.columns else []
+    partial = block_topk(queries, allowed, recall_k, ["category"], view=("prefix", recall_dim), carry=carry, **blocks)
+    return _best_of_recalled(partial, recall_k, final_k, business_weight)
 
 
 def restrict_or_open(items: DataFrame, catalogue: DataFrame, open_key: str = "*") -> tuple[DataFrame, DataFrame]:
@@ -111,19 +129,13 @@ def multi_item_search(items: DataFrame, catalogue: DataFrame, k: int = 12, **blo
     """One ranking per detected garment of an image.
 
     ``items`` carries ``image_id, item_index, category, embedding``. A garment of
-    an unknown or missing category searches everything.
+    an unknown or missing category searches everything. A null image or item index
+    is a key like any other.
     """
-    ids = items.schema["image_id"].dataType.simpleString()
-    # The number comes first: whatever follows the first sign is the image.
-    text_id = F.concat_ws("#", F.col("item_index").cast("string"), F.col("image_id").cast("string"))
-    scoped, products = restrict_or_open(items.withColumn("query_id", text_id), catalogue)
+    key = F.struct("image_id", "item_index")  # nulls in it stay what they are
+    scoped, products = restrict_or_open(items.withColumn("query_id", key), catalogue)
     ranked = exact_topk(scoped, products, k, by=["scope"], **blocks)
-    parts = F.split("query_id", "#", 2)
-    return ranked.select(
-        F.element_at(parts, 2).cast(ids).alias("image_id"),
-        F.element_at(parts, 1).cast("int").alias("item_index"),
-        "rank", "product_id", "score",
-    )
+    return ranked.select("query_id.image_id", F.col("query_id.item_index").cast("int").alias("item_index"), "rank", "product_id", "score")
 
 
 def int8_topk(queries: DataFrame, catalogue: DataFrame, k: int, **blocks) -> DataFrame:
@@ -137,11 +149,9 @@ def int8_topk(queries: DataFrame, catalogue: DataFrame, k: int, **blocks) -> Dat
 def binary_rerank(
     queries: DataFrame, catalogue: DataFrame, dim: int, recall_k: int = 500, final_k: int = 20, **blocks
 ) -> DataFrame:
-    """Recall by Hamming distance of sign bits, rerank with the full vectors."""
-    q = queries.withColumn("embedding", V.sign_bits("embedding", dim))
-    c = catalogue.withColumn("embedding", V.sign_bits("embedding", dim))
-    recalled = merge_topk(block_topk(q, c, recall_k, ["category"], metric="hamming", **blocks), recall_k)
-    return _rerank(recalled, queries, catalogue, final_k, 0.0).drop("vector_score")
+    """Recall by Hamming distance of sign bits, rerank with the full vectors inside the same block."""
+    partial = block_topk(queries, catalogue, recall_k, ["category"], metric="hamming", view=("signs", dim), **blocks)
+    return _best_of_recalled(partial, recall_k, final_k, 0.0).drop("vector_score")
 
 
 def with_buckets(
