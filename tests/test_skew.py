@@ -50,3 +50,29 @@ def test_small_table_is_broadcast_only_within_the_bound(spark):
     plan = lambda side: df.join(side, "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(skew.fetch_if_small(df.limit(5), 10)).lower()
     assert "broadcast" not in plan(skew.fetch_if_small(df, 10)).lower()
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("cells,passes", [(2, 1), (8, 3), (1024, 2)])
+def test_radix_selection_equals_sorting(spark, seed, cells, passes):
+    rng = random.Random(seed)
+    special = [float("inf"), float("-inf"), float("nan"), 1e308, -1e308, 0.0, None]
+    data = [("even", rng.random() * 300) for _ in range(200)] + [("steep", 2.0 ** rng.randrange(-40, 40)) for _ in range(150)]
+    data += [(None, 5.0)] * 40 + [("odd", rng.choice(special)) for _ in range(60)] + [("huge", rng.choice([1e308, -1e308, rng.random()])) for _ in range(50)] + [("none", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    targets = {"p0": lambda n: n * 0, "p50": lambda n: F.floor(n / 2), "p95": lambda n: F.floor(n * 0.95) - 1}
+    got = {r["k"]: tuple(map(str, r[1:])) for r in skew.select_ranks(df, ["k"], "v", targets, cells, passes).collect()}
+    want = {}
+    for key in {k for k, v in data if v is not None}:
+        values = sorted((v for k, v in data if k == key and v is not None), key=lambda v: (v != v, v))
+        n = len(values)
+        want[key] = tuple(map(str, (n, values[0], values[n // 2], values[max(0, int(n * 0.95) - 1)])))
+    assert got == want
+    whole = skew.select_ranks(df.where("k = 'even'"), [], "v", targets, cells, passes).first()
+    assert whole["n"] == 200 and whole["p50"] == sorted(v for k, v in data if k == "even")[100]
+
+
+def test_radix_selection_shuffles_no_raw_value(spark):
+    df = skewed(spark)
+    plan = skew.select_ranks(df, ["key"], "p", {"p50": lambda n: F.floor(n / 2)})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

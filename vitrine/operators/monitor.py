@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import whole_hours
-from .skew import value_at_rank
+from .skew import select_ranks
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,7 @@ def online_metrics(events: DataFrame, as_of, days: int = 1, by: list[str] | None
         _rate(F.col("reformulated")).alias("reformulation_rate"),
     )
     # Exact at any size: the value at the nearest rank.
-    p95 = value_at_rank(recent, keys, "latency_ms", {"p95_latency": lambda n: F.ceil(n * 95 / 100) - 1}).drop("n")
+    p95 = select_ranks(recent, keys, "latency_ms", {"p95_latency": lambda n: F.ceil(n * 95 / 100) - 1}).drop("n")
     if not keys:
         return rates.withColumn("p95_latency", p95.scalar())
     same = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
@@ -182,7 +182,7 @@ def latency_summary(events: DataFrame, by: list[str], budget_ms: float = 250.0)
         "p50_ms": lambda n: F.floor(n / 2),
         "p95_ms": lambda n: F.floor(n * 0.95) - 1,
     }
-    return value_at_rank(events, by, "latency_ms", ranks).withColumn("within_budget", F.col("p95_ms") <= budget_ms)
+    return select_ranks(events, by, "latency_ms", ranks).withColumn("within_budget", F.col("p95_ms") <= budget_ms)
 
 
 def serving_checks(events: DataFrame, budget_ms: float = 250.0) -> DataFrame:

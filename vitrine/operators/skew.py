@@ -132,3 +132,63 @@ def nest_in_chunks(
         .groupBy(*keys, "chunk")
         .agg(F.sort_array(F.collect_list(value)).alias(name))
     )
+
+
+def select_ranks(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    targets: dict[str, Callable[[Column], Column]],
+    cells: int = 1024,
+    passes: int = 2,
+) -> DataFrame:
+    """``value_at_rank`` by radix selection: raw values are counted where they are and never shuffled.
+
+    A first pass finds each group's size and range. Every further pass cuts the range that holds a position into
+    ``cells`` cells, counts the rows of each, and keeps the one cell that holds the position, with the smallest and
+    largest value in it. Counts are folded per task, so an exchange carries at most ``cells`` rows per position and
+    task. A last pass counts the distinct values of the cells left, which hold about a share of 1 / ``cells`` **
+    ``passes`` of spread-out values, or few distinct ones. It is exact whatever they hold.
+
+    Nulls are left out; NaN sorts last. Infinite values leave a range uncut, and the last pass settles it.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    fetched = fetch_if_small(sizes)
+    # With few groups what a pass keeps is few rows as well: one per group and position.
+    near = (lambda frame: frame) if fetched is sizes else F.broadcast
+    wanted = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.greatest(fn(F.col("n")).cast("bigint"), F.lit(0)).alias("within"))
+        for name, fn in targets.items()
+    ]))
+    named = {k: f"_of_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(of)) for k, of in named.items()]
+    of, place = list(named.values()), [*named.values(), "_target"]
+    state = fetched.select(*[F.col(k).alias(o) for k, o in named.items()], "n", "_low", "_high", wanted.alias("_t")).select(
+        *of, "n", "_low", "_high", F.col("_t.name").alias("_target"), F.col("_t.within").alias("_within")
+    )
+    inside = [*same, F.col("_v").between(F.col("_low"), F.col("_high"))]
+    for _ in range(passes):
+        span = F.col("_high").cast("double") - F.col("_low").cast("double")
+        share = F.try_divide(F.col("_v").cast("double") - F.col("_low").cast("double"), span)
+        flat = F.isnan(share) | share.isNull() | F.isnan(span) | (F.abs(span) == float("inf"))
+        cell = F.when(flat, 0).otherwise(F.least(F.lit(cells - 1), F.floor(share * cells)))
+        counted = rows.join(near(state), inside).groupBy(*place, cell.alias("_cell")).agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_least"), F.max("_v").alias("_most"),
+            F.first("n").alias("n"), F.first("_within").alias("_within"),
+        )
+        upto = F.sum("_rows").over(Window.partitionBy(*place).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
+        before = F.col("_upto") - F.col("_rows")
+        state = (
+            counted.withColumn("_upto", upto)
+            .where((before <= F.col("_within")) & (F.col("_within") < F.col("_upto")))
+            .select(*of, "n", F.col("_least").alias("_low"), F.col("_most").alias("_high"), "_target", (F.col("_within") - before).alias("_within"))
+        )
+    left = rows.join(near(state), inside).groupBy(*place, "_v").agg(
+        F.count(F.lit(1)).alias("_rows"), F.first("n").alias("n"), F.first("_within").alias("_within")
+    )
+    upto = F.sum("_rows").over(Window.partitionBy(*place).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    reached = left.withColumn("_upto", upto).where(F.col("_upto") > F.col("_within"))
+    return reached.groupBy(*[F.col(o).alias(k) for k, o in named.items()]).agg(
+        F.max("n").alias("n"), *[F.min(F.when(F.col("_target") == name, F.col("_v"))).alias(name) for name in targets]
+    )
