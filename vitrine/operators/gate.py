@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..schemas import PROMOTIONS, conform
+from ..sources.snapshots import Conflict, Snapshots
+
 
 @dataclass(frozen=True)
 class GateConfig:
@@ -205,3 +209,43 @@ def promotion_log(promotions: DataFrame, last: int = 10) -> DataFrame:
         .orderBy(F.desc("promoted_at"), F.desc("to_version"))
         .limit(last)
     )
+
+
+def accepted(promotions: DataFrame) -> DataFrame:
+    """Promotions that may be logged: a version that failed its gate is refused, and so is one without a verdict."""
+    return promotions.where(F.col("gate_status").isin("PASSED", "FORCED"))
+
+
+def promote(log: Snapshots, promotions: DataFrame, expected: int | None = None) -> int:
+    """Append promotions to the log and return its new version.
+
+    Refuses the whole call when one of them failed its gate. ``expected`` is the log version the decision was based
+    on: if another promotion was logged since, nothing is written and ``Conflict`` is raised.
+    """
+    if promotions.join(accepted(promotions).select("model_name", "to_version"), ["model_name", "to_version"], "left_anti").limit(1).count():
+        raise ValueError("a version that failed its gate cannot be promoted")
+    return log.append(conform(promotions, PROMOTIONS), expected)
+
+
+def fold_evaluation(
+    history: Snapshots, evaluate: Callable[[], DataFrame], model_name: str, model_version: str, evaluated_at
+) -> bool:
+    """Add one evaluation (a row per slice) to the metric history, unless it is there already.
+
+    Its key is (model, version, time). ``evaluate`` runs only when the key is new; its rows are read ever after.
+    """
+    at = F.lit(evaluated_at).cast("timestamp")
+    while True:
+        base = history.newest()
+        if base:
+            mine = (F.col("model_name") == model_name) & (F.col("model_version") == model_version) & (F.col("evaluated_at") == at)
+            if history.read(base).where(mine).limit(1).count():
+                return False
+        rows = evaluate().select(
+            "*", F.lit(model_name).alias("model_name"), F.lit(model_version).alias("model_version"), at.alias("evaluated_at")
+        )
+        try:
+            history.append(rows.coalesce(1), base)  # a few dozen slices
+            return True
+        except Conflict:  # somebody else folded one in; look again whether it was this one
+            continue

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import vectors as V
 from ..operators import gate, losses, metrics, retrieve
+from ..session import work_dir
+from ..sources.snapshots import Snapshots
 from .inputs import AS_OF, DIM, Inputs
 from .registry import query, rounded, text_time
 from .retrieval import SHORT, ranking_sql
@@ -29,15 +31,22 @@ def evaluation(i: Inputs, dim: int = DIM) -> DataFrame:
     return rounded(metrics.slice_metrics(per_query(i, dim)), *NAMES, digits=10)
 
 
+_HISTORIES: dict[tuple[str, str], str] = {}
+
+
 def history(i: Inputs) -> DataFrame:
-    runs = [
-        evaluation(i, dim).select(
-            "*", F.lit(MODEL).alias("model_name"), F.lit(version).alias("model_version"),
-            F.lit(at).cast("timestamp").alias("evaluated_at"),
-        )
-        for version, dim, at in VERSIONS
-    ]
-    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+    """The stored metric history of the three versions; each is evaluated once per session and set of tables."""
+    key = (i.spark.sparkContext.applicationId, i.sf_dir)
+    log = Snapshots(i.spark, _HISTORIES.setdefault(key, work_dir(i.spark, "metric-history")))
+    for version, dim, at in VERSIONS:
+        gate.fold_evaluation(log, lambda dim=dim: evaluation(i, dim), MODEL, version, at)
+    return log.read()
+
+
+def evaluated(i: Inputs, dim: int) -> DataFrame:
+    """The stored evaluation of the version that uses ``dim`` components."""
+    version = next(v for v, d, _ in VERSIONS if d == dim)
+    return history(i).where(F.col("model_version") == version).drop("model_name", "model_version", "evaluated_at")
 
 
 def per_query_sql(dim: int = DIM) -> str:
@@ -116,7 +125,7 @@ UNION ALL SELECT 'protected_slice_coverage', missing = 0, (total - missing)::DOU
 
 
 def _verdicts(i: Inputs, candidate: int, champion: int) -> DataFrame:
-    return gate.gate_verdicts(evaluation(i, candidate), evaluation(i, champion), gate.GateConfig(protected=PROTECTED))
+    return gate.gate_verdicts(evaluated(i, candidate), evaluated(i, champion), gate.GateConfig(protected=PROTECTED))
 
 
 _VERDICT_COLUMNS = "name, passed, round(observed, 6) + 0 AS observed, round(threshold, 6) + 0 AS threshold, detail"
@@ -205,7 +214,7 @@ SELECT {_SLICE}, round(m.recall_at_20, 3) AS recall_at_20, round(o.floor, 6) AS
 FROM m, o WHERE slice_dim <> 'overall' AND n_queries >= 20 AND round(m.recall_at_20, 3) < o.floor""",
 )
 def weak_slices(i):
-    return rounded(gate.weak_slices(evaluation(i, SHORT), 0.95), "floor")
+    return rounded(gate.weak_slices(evaluated(i, SHORT), 0.95), "floor")
 
 
 @query(
@@ -233,7 +242,36 @@ SELECT strftime(promoted_at, '%Y-%m-%d %H:%M:%S') AS promoted_at, model_name, al
 FROM (SELECT * FROM f_promotions WHERE gate_status <> 'FAILED' ORDER BY promoted_at DESC, to_version DESC LIMIT 10) t""",
 )
 def promotion_log(i):
-    return text_time(gate.promotion_log(i.promotions()), "promoted_at")
+    return text_time(gate.promotion_log(_promoted(i).read()), "promoted_at")
+
+
+_HALFWAY = "2024-01-16"
+
+
+def _promoted(i) -> Snapshots:
+    """The promotion log after two appends, the second one made on top of the first."""
+    log = Snapshots(i.spark, work_dir(i.spark, "promotions"))
+    early = F.col("promoted_at") < F.lit(_HALFWAY).cast("timestamp")
+    first = gate.promote(log, gate.accepted(i.promotions()).where(early), 0)
+    gate.promote(log, gate.accepted(i.promotions()).where(~early), first)
+    return log
+
+
+@query(
+    "promotion_versions",
+    f"""
+SELECT version, count(*) AS n_promotions, max(to_version) AS newest, count(*) FILTER (gate_status = 'FORCED') AS forced
+FROM f_promotions, (VALUES (1), (2)) v(version)
+WHERE gate_status <> 'FAILED' AND (version = 2 OR promoted_at < TIMESTAMP '{_HALFWAY}') GROUP BY version""",
+)
+def promotion_versions(i):
+    """What the log held at each of its versions: an append leaves the version before it readable."""
+    log = _promoted(i)
+    held = [log.read(n).withColumn("version", F.lit(n)) for n, _ in log.versions()]
+    return held[0].unionByName(held[1]).groupBy("version").agg(
+        F.count(F.lit(1)).alias("n_promotions"), F.max("to_version").alias("newest"),
+        F.count(F.when(F.col("gate_status") == "FORCED", 1)).alias("forced"),
+    )
 
 
 # Loss reports: each query and its own product are a pair; batches of about 64.
@@ -336,6 +374,6 @@ def hardneg_report(i):
     # At most K_MINE rows per query, so the array is bounded.
     nearest = F.slice(F.array_sort(F.collect_list(F.struct("rank", "v"))), 1, N_HARD)
     mined = wrong.join(vectors, "product_id").groupBy(F.col("query_id").alias("pair_id")).agg(nearest["v"].alias("negatives"))
-    pairs = _pairs(i).join(mined, "pair_id")
+    pairs = _pairs(i).join(mined, "pair_id", "left")  # an anchor without wrong neighbours has only its batch
     n = _n_batches(i.catalogue())
     return rounded(losses.loss_report(losses.batch_losses(pairs, losses.hard_negative_nce(), n, "negatives")), "loss")
