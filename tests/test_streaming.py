@@ -94,3 +94,33 @@ def test_sync_twice_adds_nothing(spark, tmp_path):
     docs.where("doc_id >= 12").write.parquet(str(tmp_path / "docs/b"))
     assert sync("c1") == 20
     assert logs.read_store(spark, store, stored).select("doc_id").distinct().count() == 20
+
+
+def test_session_table_takes_late_rows(spark, tmp_path):
+    """Three deliveries, the last ones late: one joins two old sessions, one user is new, one is null."""
+    rows = [("a", "10:00"), ("a", "11:00"), ("b", "10:00"), (None, "10:00"), (None, "10:10")], [("c", "23:00"), ("a", "22:00")], [("a", "10:30"), ("a", "09:00"), ("d", "08:00")]
+    base, got = str(tmp_path / "base"), None
+    for n, part in enumerate(rows):
+        spark.createDataFrame([(u, f"2024-01-01 {t}:00") for u, t in part], "session_id string, ts string").withColumn(
+            "event_ts", F.to_timestamp("ts")).coalesce(1).write.parquet(str(tmp_path / "in" / f"part{n}"))
+        stream = spark.readStream.schema("session_id string, ts string, event_ts timestamp").parquet(str(tmp_path / "in" / "part*"))
+        got = logs.session_table(stream, base)
+    found = {(r["session_id"], r["started"].strftime("%H:%M"), r["last_search"].strftime("%H:%M"), r["n_searches"]) for r in got.collect()}
+    assert found == {
+        ("a", "09:00", "09:00", 1), ("a", "10:00", "11:00", 3), ("a", "22:00", "22:00", 1), ("b", "10:00", "10:00", 1),
+        (None, "10:00", "10:10", 2), ("c", "23:00", "23:00", 1), ("d", "08:00", "08:00", 1),
+    }
+
+
+def test_click_table_takes_late_rows(spark, tmp_path):
+    """A click long after newer ones, a search after its click, one too late for the bound and one across midnight."""
+    searches = [(1, "2024-01-01 10:00"), (2, "2024-01-01 23:50")], [(3, "2024-01-05 10:00")], [(4, "2024-01-01 12:00")]
+    clicks = [(3, 30, "2024-01-05 10:05")], [(2, 20, "2024-01-02 00:10"), (4, 40, "2024-01-01 12:20")], [(1, 10, "2024-01-01 10:30"), (1, 11, "2024-01-01 10:31")]
+    base, got = str(tmp_path / "base"), None
+    for n in range(3):
+        spark.createDataFrame(searches[n], "event_id long, t string").select("event_id", F.to_timestamp("t").alias("event_ts")).coalesce(1).write.parquet(str(tmp_path / "s" / f"part{n}"))
+        spark.createDataFrame(clicks[n], "event_id long, product_id long, t string").select("event_id", "product_id", F.to_timestamp("t").alias("click_ts")).coalesce(1).write.parquet(str(tmp_path / "c" / f"part{n}"))
+        s = spark.readStream.schema("event_id long, event_ts timestamp").parquet(str(tmp_path / "s" / "part*"))
+        c = spark.readStream.schema("event_id long, product_id long, click_ts timestamp").parquet(str(tmp_path / "c" / "part*"))
+        got = logs.click_table(s, c, base)
+    assert sorted((r["event_id"], r["product_id"]) for r in got.collect()) == [(1, 10), (2, 20), (3, 30), (4, 40)]

@@ -45,30 +45,27 @@ numbered AS (SELECT *, sum(starts::INT) OVER (PARTITION BY session_id ORDER BY e
 s AS (SELECT session_id, min(event_ts) AS started, max(event_ts) AS last_search, count(*) AS n_searches FROM numbered GROUP BY session_id, nth)
 SELECT session_id, strftime(started, '%Y-%m-%d %H:%M:%S') AS started, strftime(last_search, '%Y-%m-%d %H:%M:%S') AS last_search, n_searches,
        n_searches > 1 AS searched_again
-FROM s WHERE last_search + INTERVAL 30 MINUTE <= (SELECT max(event_ts) FROM f_events) - INTERVAL 2 HOUR""",
+FROM s""",
 )
 def stream_sessions(i):
-    """Sessions that the watermark has closed; younger ones are still open."""
-    closed = logs.run_to_table(logs.sessions(event_stream(i), lateness="2 hours"), "sessions")
-    return text_time(closed, "started", "last_search")
+    """All sessions, the open ones as well: the state is a table, and no row is too late for it."""
+    table = logs.session_table(event_stream(i), work_dir(i.spark, "stream-sessions"))
+    return text_time(table, "started", "last_search")
 
 
 @query(
     "stream_clicks",
     """
-WITH mark AS (SELECT least((SELECT max(event_ts) FROM f_events), (SELECT max(click_ts) FROM f_later_clicks)) - INTERVAL 2 HOUR AS wm)
 SELECT s.event_id, strftime(s.event_ts, '%Y-%m-%d %H:%M:%S') AS event_ts, c.product_id, strftime(c.click_ts, '%Y-%m-%d %H:%M:%S') AS click_ts
-FROM f_events s LEFT JOIN f_later_clicks c USING (event_id)
-WHERE c.event_id IS NOT NULL OR s.event_ts + INTERVAL 30 MINUTE < (SELECT wm FROM mark)""",
+FROM f_events s LEFT JOIN f_later_clicks c USING (event_id)""",
 )
 def stream_clicks(i):
-    """Searches with their later clicks; an unclicked search appears once its time is up."""
+    """All searches with their later clicks."""
     clicks = event_stream(i).where("n_results > 1").selectExpr(
         "event_id", "element_at(results_shown, 2) AS product_id", "event_ts + INTERVAL 4 MINUTES AS click_ts"
     )
-    searches = event_stream(i).select("event_id", "event_ts")
-    joined = logs.run_to_table(logs.searches_with_clicks(searches, clicks, lateness="2 hours"), "clicks")
-    return text_time(joined, "event_ts", "click_ts")
+    table = logs.click_table(event_stream(i).select("event_id", "event_ts"), clicks, work_dir(i.spark, "stream-clicks"))
+    return text_time(table, "event_ts", "click_ts")
 
 
 @query(
@@ -84,7 +81,7 @@ SELECT session_id, strftime(started, '%Y-%m-%d %H:%M:%S') AS started, strftime(l
 FROM s""",
 )
 def stream_sessions_whole(i):
-    """All sessions: those that the stream has closed, and those still open by the batch form."""
+    """The same by a watermark: sessions that it has closed, and those still open by the batch form."""
     closed = logs.run_to_table(logs.sessions(event_stream(i), lateness="2 hours"), "sessions")
     return text_time(closed.unionByName(logs.open_sessions(i.events(), closed, lateness="2 hours")), "started", "last_search")
 
@@ -96,7 +93,7 @@ SELECT s.event_id, strftime(s.event_ts, '%Y-%m-%d %H:%M:%S') AS event_ts, c.prod
 FROM f_events s LEFT JOIN f_later_clicks c USING (event_id)""",
 )
 def stream_clicks_whole(i):
-    """All searches with their later clicks: those that the stream has settled, and the youngest ones by the batch form."""
+    """The same by watermarks: searches that the stream has settled, and the youngest ones by the batch form."""
     later = ("event_id", "element_at(results_shown, 2) AS product_id", "event_ts + INTERVAL 4 MINUTES AS click_ts")
     sides = [(e.select("event_id", "event_ts"), e.where("n_results > 1").selectExpr(*later)) for e in (event_stream(i), i.events())]
     joined = logs.run_to_table(logs.searches_with_clicks(*sides[0], lateness="2 hours"), "clicks")
