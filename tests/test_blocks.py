@@ -175,3 +175,31 @@ def test_hashed_duplicates_are_right_and_find_close_copies(spark):
     exact = {r["drop_id"] for r in curate.near_duplicates(df, 0.97).collect()}
     hashed = {r["drop_id"] for r in curate.near_duplicates_hashed(df, DIM, 0.97, bits=6, tables=20).collect()}
     assert hashed <= exact and set(range(120, 240)) <= hashed
+
+
+def test_pivot_angles_leave_out_no_pair():
+    from vitrine.operators.blocks import _near_cells
+
+    rng = np.random.RandomState(11)
+    centres = rng.standard_normal((60, 16))
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    for noise, most in ((0.05, 0.3), (0.4, 1.0), (3.0, 1.0)):
+        a, b = (unit(centres[rng.randint(60, size=n)] + noise * rng.standard_normal((n, 16))) for n in (1500, 2300))
+        b[:40] = a[:40]
+        seen = np.zeros((len(a), len(b)), dtype=np.int64)
+        for rows, cols in _near_cells(a, b, 0.97):
+            seen[np.ix_(rows, cols)] += 1
+        assert seen.max() == 1
+        assert (seen[(a @ b.T) >= 0.97] == 1).all()
+        assert seen.mean() <= most
+
+
+def test_items_with_null_ids_keep_their_rankings(spark):
+    _, m = skewed(30, 12)
+    catalogue = frame(spark, list(range(30)), ["x"] * 30, m, "product_id")
+    items = [(None, 1, "x"), (None, None, "x"), ("7", None, "x"), ("7", 2, None), ("#3#", 0, "x")]
+    rows = [(a, b, c, [float(x) for x in m[n + 5]]) for n, (a, b, c) in enumerate(items)]
+    df = spark.createDataFrame(rows, "image_id string, item_index int, category string, embedding array<double>")
+    got = {(r["image_id"], r["item_index"]): r["product_id"] for r in retrieve.multi_item_search(df, catalogue, 1).collect()}
+    best = [int(np.argmax([round(cosine(m[n + 5], v), 12) for v in m])) for n in range(5)]
+    assert got == {(a, b): best[n] for n, (a, b, _) in enumerate(items)}

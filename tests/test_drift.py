@@ -139,3 +139,17 @@ def test_newest_two_captures(spark):
     assert (values(previous), values(current)) == ([2], [3, 33])
     previous, current = drift.newest_two(log.where("s = 1"))
     assert (values(previous), values(current)) == ([], [1])
+
+
+def test_payloads_are_read_back_and_bad_ones_set_aside(spark, rows):
+    snap = spark.createDataFrame(
+        [("counts", "top", 3.0), ("counts", "bag", 0.1 + 0.2), ("rate", "all", None), ("odd \"key\"", "a\\b", -1e-17)], "signal string, key string, value double"
+    )
+    log = drift.payloads(snap, "2024-01-01", "7")
+    bad = ["{", None, "[]", '{"signal": null, "values": {"a": 1}}', '{"signal": "x", "values": 3}', '{"values": {}}', ""]
+    broken = spark.createDataFrame([(b,) for b in bad], "payload string").selectExpr(
+        "timestamp'2024-01-02 00:00:00' AS captured_at", "'8' AS model_version", "payload")
+    good, aside = drift.read_payloads(log.unionByName(broken))
+    assert rows(good.select("signal", "key", "value")) == rows(snap)
+    assert {r["model_version"] for r in good.collect()} == {"7"}
+    assert sorted(map(repr, (r["payload"] for r in aside.collect()))) == sorted(map(repr, bad))

@@ -92,3 +92,23 @@ def test_latency_by_version(spark):
     events = log(spark, [row(n, "2024-01-30 00:00:00", ms=float(n)) for n in range(1, 101)]).withColumn("model_version", F.lit("v1"))
     r = monitor.latency_summary(events, ["model_version"], 94.0).first()
     assert (r["p50_ms"], r["p95_ms"], r["within_budget"]) == (51.0, 95.0, False)
+
+
+def test_days_filter_folders_while_the_query_runs(spark, tmp_path):
+    from vitrine.sources.tables import Tables
+
+    tables = Tables(spark, str(tmp_path))
+    days = ["2024-01-01", "2024-01-02", "2024-01-03", None]
+    events = spark.createDataFrame(
+        [(d and f"{d} 10:00:00", "v", [1] if n else [], n) for d in days for n in (0, 1, 2)], "ts string, model_version string, clicked array<int>, n_results int"
+    ).withColumn("event_ts", F.to_timestamp("ts"))
+    tables.append_events(events, "gold", "e")
+    stored = tables.read_events("gold", "e", "1970-01-01")
+    bad = spark.createDataFrame([("2024-01-02",)], "d string").select(F.to_date("d").alias("event_date"))
+    found = monitor.metrics_of_days(stored, bad)
+    assert [(str(r["event_date"]), r["n_searches"], round(r["ctr"], 3)) for r in found.collect()] == [("2024-01-02", 3, 0.667)]
+    path = str(tmp_path / "bad")
+    bad.write.parquet(path)
+    lazily = monitor.metrics_of_days(stored, spark.read.parquet(path).where("event_date < current_date()"))
+    assert "dynamicpruning" in lazily._jdf.queryExecution().executedPlan().toString()
+    assert monitor.bad_days(events, 0.2).count() == 4 and monitor.bad_days(events, 0.5).count() == 0

@@ -271,6 +271,40 @@ def _with_lower_partner(a: np.ndarray, b: np.ndarray, a_ids: np.ndarray, b_ids:
     return dropped
 
 
+def _near_cells(a: np.ndarray, b: np.ndarray, threshold: float):
+    """Row positions on both sides that may be within the threshold, by pivot angles; unit rows, exact.
+
+    Every row of ``b`` belongs to the cell of its nearest pivot. Angles obey the triangle inequality, so a row of ``a``
+    can have a partner in a cell only if its angle to the pivot is at most the cell's largest one and the threshold's
+    together. Vectors in clusters leave few such cells; where most would be met, one product of all is cheaper.
+    """
+    n = int(np.sqrt(len(b)))
+    if n < 8 or not len(a) or threshold <= 0:
+        yield np.arange(len(a)), np.arange(len(b))
+        return
+    pivots = b[np.linspace(0, len(b) - 1, n).astype(np.int64)]
+    own, far = np.empty(len(b), dtype=np.int64), np.zeros(n)
+    tile = max(8, _TILE_CELLS // n // 8 * 8)  # whole bytes of packed rows
+    for start in range(0, len(b), tile):
+        angles = np.arccos(np.clip(b[start : start + tile] @ pivots.T, -1, 1))
+        nearest = angles.argmin(axis=1)
+        own[start : start + tile] = nearest
+        np.maximum.at(far, nearest, angles[np.arange(len(angles)), nearest])
+    reach = np.cos(np.minimum(far + np.arccos(min(threshold, 1.0)) + 1e-6, np.pi))  # slack for rounding
+    met = np.concatenate([np.packbits(a[start : start + tile] @ pivots.T >= reach, axis=0) for start in range(0, len(a), tile)])
+    order = np.argsort(own, kind="stable")
+    cuts = np.searchsorted(own[order], np.arange(n + 1))
+    sizes = np.diff(cuts)
+    pairs = (np.bitwise_count(met).sum(axis=0, dtype=np.int64) * sizes).sum()
+    if pairs > 0.5 * len(a) * len(b):
+        yield np.arange(len(a)), np.arange(len(b))
+        return
+    for j in np.flatnonzero(sizes):
+        rows = np.flatnonzero(np.unpackbits(met[:, j])[: len(a)])
+        if len(rows):
+            yield rows, order[cuts[j] : cuts[j + 1]]
+
+
 def block_duplicates(
     vectors: DataFrame,
     threshold: float,
@@ -285,8 +319,8 @@ def block_duplicates(
 
     Only pairs of blocks i <= j are formed. A block pair answers, for each of its
     ids, whether some lower id is close enough; matching pairs are never listed,
-    so a large set of copies costs no more than any other rows. ``within`` works as
-    in ``block_topk``.
+    so a large set of copies costs no more than any other rows. Inside a pair of blocks
+    only rows meet that pivot angles cannot keep apart. ``within`` works as in ``block_topk``.
     """
     finer = [F.col(within).alias("_w")] if within else []
     v = vectors.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("_p"), *keys, *finer, F.col(vector).alias("_v"))
@@ -316,7 +350,9 @@ def block_duplicates(
             a_ids = a.column("_lp").to_numpy()[a_at]
             b_ids = b.column("_rp").to_numpy()[b_at]
             for a_rows, b_rows in _matches(a, b, a_at, b_at, ("_lw", "_rw") if within else None):
-                dropped += _with_lower_partner(am[a_rows], bm[b_rows], a_ids[a_rows], b_ids[b_rows], threshold)
+                for a_near, b_near in _near_cells(am[a_rows], bm[b_rows], threshold):
+                    some, other = a_rows[a_near], b_rows[b_near]
+                    dropped += _with_lower_partner(am[some], bm[other], a_ids[some], b_ids[other], threshold)
         ids = np.unique(np.concatenate(dropped)) if dropped else []
         return pa.table([pa.array(ids, id_type)], names=["drop_id"])
 

@@ -122,6 +122,29 @@ def snapshot_payload(snap: DataFrame) -> DataFrame:
     )
 
 
+PAYLOAD = "signal string, values map<string, double>, _broken string"
+
+
+def payloads(snap: DataFrame, captured_at, model_version: str) -> DataFrame:
+    """A snapshot as log rows (captured_at, model_version, payload): one JSON document per signal."""
+    values = F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value"))))
+    return snap.groupBy("signal").agg(values.alias("values")).select(
+        F.lit(captured_at).cast("timestamp").alias("captured_at"), F.lit(model_version).alias("model_version"),
+        F.to_json(F.struct("signal", "values")).alias("payload"),
+    )
+
+
+def read_payloads(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad): (captured_at, model_version, signal, key, value) of the payloads, and the log rows set aside.
+
+    A payload is bad when it is null, is no JSON document of the declared schema, or names no signal.
+    """
+    parsed = log.withColumn("_p", F.from_json("payload", PAYLOAD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    good = F.coalesce(F.col("_p._broken").isNull() & F.col("_p.signal").isNotNull() & F.col("_p.values").isNotNull(), F.lit(False))
+    rows = parsed.where(good).select("captured_at", "model_version", "_p.signal", F.explode("_p.values").alias("key", "value"))
+    return rows, parsed.where(~good).drop("_p")
+
+
 def newest_two(snapshots: DataFrame, at: str = "captured_at") -> tuple[DataFrame, DataFrame]:
     """(previous, current): the rows of the last two captures of a snapshot log.
 

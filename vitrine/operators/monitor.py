@@ -63,6 +63,20 @@ def online_metrics(events: DataFrame, as_of, days: int = 1, by: list[str] | None
     return rates.join(named, same, "left").drop(*[f"_p_{k}" for k in keys])
 
 
+def bad_days(events: DataFrame, max_zero_rate: float) -> DataFrame:
+    """(event_date): days on which too large a share of the searches found nothing."""
+    daily = events.groupBy(F.to_date("event_ts").alias("event_date")).agg(_rate(F.col("n_results") == 0).alias("rate"))
+    return daily.where(F.col("rate") > max_zero_rate).select("event_date")
+
+
+def metrics_of_days(events: DataFrame, days: DataFrame) -> DataFrame:
+    """Metrics per day and model version of the given days. ``events`` is partitioned by ``event_date``, so that the
+    days, one row each, filter its folders while the query runs."""
+    return events.join(F.broadcast(days), "event_date").groupBy("event_date", "model_version").agg(
+        F.count(F.lit(1)).alias("n_searches"), _rate(clicked_any()).alias("ctr"), _rate(F.col("n_results") == 0).alias("zero_result_rate"),
+    )
+
+
 def category_ctr(events: DataFrame, as_of, limits: Limits = Limits(), days: int = 7) -> DataFrame:
     """Categories with enough searches whose click-through is below the floor."""
     return (

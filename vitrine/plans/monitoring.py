@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..operators import drift, gate, infer, monitor
+from ..session import work_dir
+from ..sources.tables import Tables
 from .evaluation import HISTORY_SQL, history
 from .inputs import AS_OF
 from .registry import query, rounded, stored, text_time
@@ -59,21 +61,48 @@ SELECT query_condition, now / (SELECT sum(now) FROM n) AS p_now, base / (SELECT
        abs(now / (SELECT sum(now) FROM n) - base / (SELECT sum(base) FROM n)) AS shift FROM n WHERE now > 0 AND base > 0"""
 
 
+@query(
+    "online_by_day",
+    f"""
+WITH days AS (SELECT date_trunc('day', event_ts)::DATE AS day, count(*) AS n FROM f_events GROUP BY 1 HAVING count(*) FILTER (n_results = 0) / count(*) > 0.2)
+SELECT strftime(d.day, '%Y-%m-%d') AS day, e.model_version, count(*) AS n_searches, round(avg((len(clicked) > 0)::INT), 6) AS ctr, round(avg((n_results = 0)::INT), 6) AS zero_result_rate
+FROM days d JOIN f_events e ON date_trunc('day', e.event_ts)::DATE = d.day GROUP BY ALL""",
+)
+def online_by_day(i):
+    """Metrics of the days that a summary marks as bad: their folders alone are read, by a dynamic partition filter."""
+    tables = Tables(i.spark, work_dir(i.spark, "days"))
+    tables.append_events(i.events(), "gold", "search_events")
+    events = tables.read_events("gold", "search_events", "1970-01-01")
+    bad = stored(monitor.bad_days(i.events(), 0.2), "bad-days")
+    return rounded(
+        monitor.metrics_of_days(events, bad).select(F.date_format("event_date", "yyyy-MM-dd").alias("day"), "model_version", "n_searches", "ctr", "zero_result_rate"),
+        "ctr", "zero_result_rate",
+    )
+
+
 @query("distribution_shift", f"SELECT query_condition, round(p_now, 6) AS p_now, round(p_base, 6) AS p_base, round(shift, 6) AS shift FROM ({_SHIFT}) t")
 def distribution_shift(i):
     return rounded(monitor.distribution_shift(i.events(), AS_OF), "p_now", "p_base", "shift")
 
 
+# There is an index for every second number up to twice the suppliers; those beyond the users were never synced.
 _FRESH = f"""
-SELECT index_name, max(synced_at) AS last_at, date_sub('hour', max(synced_at), TIMESTAMP '{AS_OF}') AS hours, 'index_stale' AS kind,
-       CASE WHEN date_sub('hour', max(synced_at), TIMESTAMP '{AS_OF}') > 24 THEN 'high'
+SELECT index_name, max(synced_at) AS last_at, date_sub('hour', max(synced_at), TIMESTAMP '{AS_OF}') AS hours,
+       CASE WHEN max(synced_at) IS NULL THEN 'no_index' ELSE 'index_stale' END AS kind,
+       CASE WHEN max(synced_at) IS NULL THEN 'high' WHEN date_sub('hour', max(synced_at), TIMESTAMP '{AS_OF}') > 24 THEN 'high'
             WHEN date_sub('hour', max(synced_at), TIMESTAMP '{AS_OF}') > 6 THEN 'warning' END AS severity
-FROM f_index_syncs GROUP BY index_name"""
+FROM (SELECT concat('index_', 2 * s_suppkey) AS index_name, NULL AS synced_at FROM supplier UNION ALL SELECT index_name, synced_at FROM f_index_syncs) x
+GROUP BY index_name"""
+
+
+def _fresh(i):
+    expected = i.raw("supplier").selectExpr("concat('index_', 2 * s_suppkey) AS index_name")
+    return monitor.freshness(i.index_syncs(), AS_OF, "synced_at", ["index_name"], expected=expected)
 
 
 @query("freshness", f"SELECT index_name, strftime(last_at, '%Y-%m-%d %H:%M:%S') AS last_at, hours, kind, severity FROM ({_FRESH}) t")
 def freshness(i):
-    return text_time(monitor.freshness(i.index_syncs(), AS_OF, "synced_at", ["index_name"]), "last_at")
+    return text_time(_fresh(i), "last_at")
 
 
 @query(
@@ -156,7 +185,7 @@ def alerts(i):
         online=monitor.online_metrics(monitor.reformulated(monitor.since(i.events(), AS_OF, 1)), AS_OF),
         categories=monitor.category_ctr(i.events(), AS_OF, LIMITS),
         shift=monitor.distribution_shift(i.events(), AS_OF),
-        fresh=monitor.freshness(i.index_syncs(), AS_OF, "synced_at", ["index_name"]),
+        fresh=_fresh(i),
         covered=monitor.coverage(i.products(), i.catalogue()),
         trend=gate.metric_trend(history(i)),
         limits=LIMITS,
@@ -307,12 +336,9 @@ UNION ALL SELECT 'mean_confidence', 'absolute change', round(delta, 4) + 0, CASE
 UNION ALL SELECT 'query_embedding_centroid', 'cosine distance', round(shift, 5) + 0, CASE WHEN abs(shift) < 0.05 THEN 'stable' ELSE 'significant shift' END FROM s""",
 )
 def drift_report(i):
-    """Two captures are stored first; the report compares the newest two of that log."""
-    log = stored(
-        _snapshot(i, True).withColumn("captured_at", F.lit("2024-01-30").cast("timestamp")).unionByName(
-            _snapshot(i, False).withColumn("captured_at", F.lit(AS_OF).cast("timestamp"))
-        ),
-        "snapshots",
-    )
+    """Two captures are stored as JSON payloads, and a broken one with them; the report reads the newest two back."""
+    captures = drift.payloads(_snapshot(i, True), "2024-01-30", "1").unionByName(drift.payloads(_snapshot(i, False), AS_OF, "2"))
+    broken = i.spark.range(1).select(F.lit("2024-02-01").cast("timestamp").alias("captured_at"), F.lit("3").alias("model_version"), F.lit('{"signal": "cen').alias("payload"))
+    log, _ = drift.read_payloads(stored(captures.unionByName(broken), "snapshots"))
     report = drift.drift_report(*drift.newest_two(log))
     return report.withColumn("value", F.col("value") + F.lit(0.0))
