@@ -74,3 +74,31 @@ def test_files(spark, block_ids):
 
 def test_empty_table(spark):
     assert tokens.tokenized(docs(spark, []), PATH).count() == 0
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abcxyzXZéÉàßÿ÷×'.,!?-_0123()<|>\"日Σİ́ \t\nœ\xa0"), max_size=40), max_size=8))
+def test_any_text_by_words(texts):
+    library = Tokenizer.from_file(PATH)
+    assert [x.tolist() for x in OWN.encode([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+OWN = tokens.WordTokenizer(PATH)
+
+
+def test_words_forgotten_and_learnt_again(monkeypatch):
+    library = Tokenizer.from_file(PATH)
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 40)
+    own = tokens.WordTokenizer(PATH)
+    for n in range(12):
+        texts = [f"word{n} and{i} more, x{i * n}!" for i in range(9)] + ["", " "]
+        assert [x.tolist() for x in own.encode([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(own.words) < 120
+
+
+def test_another_tokenizer_gets_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), tokens.WordTokenizer(path)
+    texts = ["Hello  world, it's", "", "tabs\tand\nlines  end "]
+    assert [x.tolist() for x in own.encode([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.whole and not OWN.load() == 0 and not OWN.whole

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,67 +19,172 @@ from .words import raw_texts
 END_ID = 1
 BLOCK_IDS = 1 << 21
 #: Texts are tokenized word by word; a worker forgets its words when it holds this many.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 1_000_000
+#: New words that one call of the tokenizer takes as a text of their own.
+TOGETHER = 200
 #: Bytes of a text with blanks for tabs and line ends; and with small letters for A-Z as well.
 BLANK = bytes(32 if b in b"\t\n\r" else b for b in range(256))
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else BLANK[b] for b in range(256))
+#: How byte-level vocabularies write the bytes of small Latin-1 letters that have no printable sign of their own.
+BYTE_SIGNS = {"\x9f": "\u0141", "\xa0": "\u0142", "\xad": "\u0143"}
+SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+#: Kinds of bytes in plain words: small letters, digits, ASCII signs but the apostrophe and what may open a special token.
+KINDS = np.full(256, OTHER, np.uint8)
+KINDS[33:127] = SIGN
+KINDS[48:58], KINDS[97:123], KINDS[32] = DIGIT, LETTER, SPACE
+KINDS[65:91] = KINDS[[39, 60]] = OTHER
+WORD_END = "</w>"
+#: Texts on which the word-wise way must agree with the library before it is used.
+PROBES = (
+    "", "  a  b", "<|endoftext|> x <|ENDOFTEXT|>", "It's. 'sound' don't, 3.5, a.b, ÀÉ, Ω. É́. x İstanbul ΣΑΣ. !!, .",
+    "é. é, x9. x9,. ,,", "tabs\tand\r\nlines ...  Ends.", "a.,b., c,.", "日本語。 テスト, 1,000.", "wow!!! x*** y$%' (z) é!! 5%, '' rock'n'roll's' a\u0301!!",
+    "The Quick brown\u00a0fox, [x]_y^z~{q}|w @home #1 2nd 12:30 naïve façade œuvre straße ÿ÷×",
+)
+
+
+class Words(dict):
+    """Words to their numbers; a word that is not there gets the next one."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+def plain_pieces(words: list[bytes]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(which words are plain, their pieces as texts of many words, number of pieces of each plain word).
+
+    Plain words need neither normalising nor the tokenizer's own splitting: small Latin-1 letters, digits and signs, cut
+    into letters, single digits and runs of signs.
+    """
+    data = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    kind = KINDS[data]
+    # Small letters with accents are two bytes, C3 and 9F to BF without the division sign.
+    second = np.zeros(len(data), bool)
+    second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x9F) & (data[1:] <= 0xBF) & (data[1:] != 0xB7)
+    kind[second] = LETTER
+    kind[:-1][second[1:]] = LETTER
+    space = kind == SPACE
+    word = np.cumsum(space) - space
+    plain = np.bincount(word[~space], minlength=len(words)) > 0
+    plain[word[kind == OTHER]] = False
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (kind[1:] != SPACE) & (kind[:-1] != SPACE) & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))
+    kept = plain[word]
+    pieces = 1 + np.bincount(word[cut], minlength=len(words))[plain]
+    places = np.flatnonzero(cut & kept)
+    # A blank before every cut; where it goes among the bytes that stay.
+    joined = np.insert(data[kept], np.cumsum(kept)[places] - 1, 32)
+    ends = np.flatnonzero(joined == 32)[np.cumsum(pieces) - 1] if len(pieces) else np.zeros(0, np.int64)
+    texts, start = [], 0
+    for end in ends[[*range(TOGETHER - 1, len(ends), TOGETHER), *([len(ends) - 1] if len(ends) % TOGETHER else [])]]:
+        text = joined[start:end].tobytes().decode("latin-1")
+        start = end + 1
+        if not text.isascii():
+            for byte, sign in BYTE_SIGNS.items():
+                text = text.replace(byte, sign)
+        texts.append(text)
+    return plain, texts, pieces
 
 
 class WordTokenizer:
     """Ids of whole texts, from the ids of their words.
 
     None of the tokenizer's pre-token patterns crosses white space, so the ids of a text are
-    the ids of its white-space separated parts in order. Parts repeat a lot, so their ids are kept. More parts are alike
-    without capitals: the tokenizer itself lower-cases, so A-Z may be lowered first, but for the strings of
-    special tokens. A full stop or comma after a letter always starts a piece of its own.
+    the ids of its white-space separated parts in order. Parts repeat a lot, so their ids are kept, by number, one after
+    the other in an array. More parts are alike without capitals: the tokenizer itself lower-cases, so A-Z may be
+    lowered first, but for the strings of special tokens. New plain words go to the tokenizer's model many at a time,
+    already split; their last piece ends a word. Other words take the tokenizer's whole way.
+
+    Whether all this holds for a file is tried on ``PROBES`` when it is loaded; a tokenizer that gives other ids gets whole texts.
 
     It travels as a path; each worker process loads the file once and keeps its words from task to task.
     """
 
     def __init__(self, path: str):
-        self.path, self.tokenizer, self.known = path, None, {}
+        self.path, self.tokenizer = path, None
 
     def __getstate__(self):
-        return {"path": self.path, "tokenizer": None, "known": {}}
+        return {"path": self.path, "tokenizer": None}
 
     def load(self) -> int:
         """Size of the vocabulary, once the tokenizer is there."""
         if self.tokenizer is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-            from tokenizers import Tokenizer
+            from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-            self.tokenizer = Tokenizer.from_file(self.path)
+            self.tokenizer, self.model = Tokenizer.from_file(self.path), Tokenizer.from_file(self.path)
+            self.model.normalizer, self.model.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
             self.size = self.tokenizer.get_vocab_size()
-            self.code = "H" if self.size <= 1 << 16 else "I"
-            rules = str(self.tokenizer.normalizer)
-            self.lowers = "Lowercase" in rules
+            self.code = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+            self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
+            self.ends = np.zeros(self.size, bool)
+            for piece, i in self.tokenizer.get_vocab().items():
+                self.ends[i] = piece.endswith(WORD_END)
+            self.plain = self.lowers and bool(self.ends.any())
+            self._forget()
+            probes = [t.encode() for t in PROBES]
+            try:
+                self.whole = any(a.tolist() != b.tolist() for a, b in zip(self._by_words(probes), self._whole(probes), strict=True))
+            except ValueError:  # pieces and word ends do not fit each other
+                self.whole = True
         return self.size
 
-    def _parts(self, text: bytes) -> list[bytes]:
-        return text.translate(PLAIN if self.lowers and b"<|" not in text else BLANK).split(b" ")
-
-    def _learn(self, missing: set[bytes]) -> None:
-        cut = {p for p in missing if p[-1:] in (b".", b",") and p[-2:-1].isalpha()}
-        new = list((missing - cut | {p[:-1] for p in cut} | {b".", b","}).difference(self.known))
-        found = self.tokenizer.encode_batch_fast([p.decode(errors="replace") for p in new], add_special_tokens=False)
-        self.known.update((part, array(self.code, code.ids).tobytes()) for part, code in zip(new, found, strict=True))
-        for part in cut:
-            self.known[part] = self.known[part[:-1]] + self.known[part[-1:]]
+    def _forget(self) -> None:
+        self.words, self.used = Words(), 0
+        self.ids, self.start, self.length = np.zeros(1 << 16, self.code), np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64)
+
+    def _whole(self, batch: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode(errors="replace") for t in batch], add_special_tokens=False)
+        return [np.array(code.ids, self.code) for code in found]
+
+    def _keep(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Ids of some new words, one word after the other."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while len(self.words) > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[numbers], self.length[numbers] = self.used + np.cumsum(lengths) - lengths, lengths
+        self.used += len(ids)
+
+    def _learn(self) -> None:
+        first, new = len(self.words) - len(self.words.new), self.words.new
+        self.words.new = []
+        plain, texts, pieces = plain_pieces(new) if self.plain else (np.zeros(len(new), bool), [], np.zeros(0, np.int64))
+        numbers = np.arange(first, len(self.words))
+        if texts:
+            found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.concatenate([np.array(code.ids, self.code) for code in found])
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != pieces.sum() or ends[-1] != len(ids):
+                raise ValueError("pieces and word ends do not fit each other")
+            self._keep(numbers[plain], ids, np.diff(ends[np.cumsum(pieces) - 1], prepend=0))
+        other = numbers[~plain]
+        if len(other):
+            found = self._whole([new[i - first] for i in other])
+            self._keep(other, np.concatenate(found), np.array([len(x) for x in found]))
+
+    def _by_words(self, batch: list[bytes]) -> list[np.ndarray]:
+        if len(self.words) > CACHED_WORDS:
+            self._forget()
+        parts = [t.translate(PLAIN if self.lowers and b"<|" not in t else BLANK).split(b" ") for t in batch]
+        counts = np.array([len(p) for p in parts])
+        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
+        if self.words.new:
+            self._learn()
+        lengths = self.length[numbers]
+        ends = np.cumsum(lengths)
+        taken = self.ids[np.repeat(self.start[numbers] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        return np.split(taken, np.concatenate([[0], ends])[np.cumsum(counts)[:-1]])
 
     def encode(self, batch: list[bytes]) -> list[np.ndarray]:
         """The ids of UTF-8 texts."""
         self.load()
-        parts = [self._parts(t) for t in batch]
-        missing: set[bytes] = set()
-        for p in parts:
-            missing.update(set(p).difference(self.known))
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known.clear()
-            missing = set().union(*parts)
-        if missing:
-            self._learn(missing)
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), self.code) for p in parts]
+        return self._whole(batch) if self.whole else self._by_words(batch)
 
 
 def write_tokens(
