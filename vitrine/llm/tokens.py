@@ -172,14 +172,14 @@ class WordTokenizer:
         if len(self.words) > CACHED_WORDS:
             self._forget()
         parts = [t.translate(PLAIN if self.lowers and b"<|" not in t else BLANK).split(b" ") for t in batch]
-        counts = np.array([len(p) for p in parts])
+        counts = np.array([len(p) for p in parts], np.int64)
         numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
         if self.words.new:
             self._learn()
         lengths = self.length[numbers]
         ends = np.cumsum(lengths)
         taken = self.ids[np.repeat(self.start[numbers] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        return np.split(taken, np.concatenate([[0], ends])[np.cumsum(counts)[:-1]])
+        return np.split(taken, np.concatenate([[0], ends])[np.cumsum(counts)[:-1]]) if len(counts) else []
 
     def encode(self, batch: list[bytes]) -> list[np.ndarray]:
         """The ids of UTF-8 texts."""
