@@ -1,8 +1,9 @@
+import numpy as np
 import pandas as pd
 import pytest
 
 from vitrine.operators import infer
-from vitrine.plans.models import box_detector, text_encoder
+from vitrine.plans.models import text_encoder
 
 
 def encode(items, existing, uri="bow:v1"):
@@ -43,6 +44,32 @@ def test_whole_text_counts():
     assert (whole != short).any()
 
 
+LABELS = np.array(["bag", "bottom", "dress", "hat", "outer", "shoes", "top"], dtype=object)
+SIDE = 200
+
+
+def detector():
+    """Made inside a function, so that it travels by value."""
+    def box_detector(batches: object) -> object:
+        """``post_id, o_custkey`` to zero to three boxes on a 200 x 200 image."""
+        for batch in batches:
+            post = batch["post_id"].to_numpy()
+            rows = np.repeat(np.arange(len(batch)), post % 4)
+            nth = np.arange(len(rows)) - np.repeat(np.cumsum(post % 4) - post % 4, post % 4)
+            post, cust = post[rows], batch["o_custkey"].to_numpy()[rows]
+            x1, y1 = (cust * 7 + nth * 13) % 100, (post * 3 + nth * 5) % 100
+            w, h = 10 + post % 90, 10 + cust % 80
+            label = (post + nth) % len(LABELS)
+            yield pd.DataFrame({
+                "post_id": post, "label": label.astype("int32"), "category": LABELS[label],
+                "score": ((post + nth * 17) % 100) / 100.0,
+                "x1": x1 * 1.0, "y1": y1 * 1.0, "x2": (x1 + w) * 1.0, "y2": (y1 + h) * 1.0,
+                "area_frac": w * h / float(SIDE * SIDE),
+            })
+
+    return box_detector
+
+
 BOXES = "detection_id string, post_id int, category string, score double, area_frac double"
 
 
@@ -72,8 +99,8 @@ def test_best_box_is_item_zero(spark):
 
 def test_detections_are_filtered_and_repeatable(spark):
     images = spark.range(200).selectExpr("id AS post_id", "id * 3 AS o_custkey")
-    once = infer.detect_items(images, box_detector, ["o_custkey"]).collect()
-    again = infer.detect_items(images.repartition(7), box_detector, ["o_custkey"]).collect()
+    once = infer.detect_items(images, detector(), ["o_custkey"]).collect()
+    again = infer.detect_items(images.repartition(7), detector(), ["o_custkey"]).collect()
     assert {r["detection_id"] for r in once} == {r["detection_id"] for r in again}
     assert all(r["score"] >= 0.40 and r["area_frac"] >= 0.008 for r in once) and len(once) > 50
 
@@ -82,3 +109,15 @@ def test_contract_finds_violations(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0]), (3, [2.0, 0.0]), (4, None)], "g int, embedding array<double>")
     r = infer.embedding_contract(vectors, 2).first()
     assert (r["n_vectors"], r["wrong_dimension"], r["wrong_norm"], r["passed"]) == (4, 2, 2, False)
+
+
+def test_delivered_boxes(spark):
+    rows = [
+        (1, 2, "bag", 0.5, 10.0, 10.0, 30.0, 60.0), (1, 2, "bag", None, 10.0, 10.0, 30.0, 60.0), (2, 0, "hat", 0.4, 0.0, 0.0, 8.0, 10.0),
+        (3, 0, "hat", 0.39, 0.0, 0.0, 80.0, 10.0), (4, 0, "hat", 0.9, 5.0, 5.0, 5.0, 90.0), (5, 1, None, 0.9, 50.0, 50.0, 10.0, 10.0),
+    ]
+    boxes = spark.createDataFrame(rows, "post_id int, label int, category string, score double, x1 double, y1 double, x2 double, y2 double")
+    kept = infer.keep_boxes(boxes, 100.0, 100.0).collect()
+    assert [(r["post_id"], r["area_frac"]) for r in kept if r["post_id"] != 2] == [(1, 0.1)]
+    assert [r["area_frac"] for r in kept if r["post_id"] == 2] == [0.008]
+    assert infer.keep_boxes(boxes, 100.0, 100.0).select("detection_id").distinct().count() == 2

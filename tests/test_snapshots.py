@@ -120,3 +120,9 @@ def test_stored_history_needs_no_search(spark):
     i = Inputs(spark, "/root/testdata/sf0.001")
     plan = gate.metric_trend(evaluation.history(i))._jdf.queryExecution().optimizedPlan().toString()
     assert "Arrow" not in plan and "Join" not in plan
+
+
+def test_promotion_is_signed(spark, log):
+    gate.promote(log, promotion(spark, (1, "PASSED")).withColumns({"promoted_by": F.lit(None).cast("string"), "promoted_at": F.lit(None).cast("timestamp")}))
+    row = log.read().first()
+    assert row["promoted_by"] == spark.range(1).select(F.current_user()).first()[0] and row["promoted_at"] is not None

@@ -219,12 +219,16 @@ def accepted(promotions: DataFrame) -> DataFrame:
 def promote(log: Snapshots, promotions: DataFrame, expected: int | None = None) -> int:
     """Append promotions to the log and return its new version.
 
-    Refuses the whole call when one of them failed its gate. ``expected`` is the log version the decision was based
+    Refuses the whole call when one of them failed its gate. Who and when are the session's user and now, where they are
+    missing. ``expected`` is the log version the decision was based
     on: if another promotion was logged since, nothing is written and ``Conflict`` is raised.
     """
     if promotions.join(accepted(promotions).select("model_name", "to_version"), ["model_name", "to_version"], "left_anti").limit(1).count():
         raise ValueError("a version that failed its gate cannot be promoted")
-    return log.append(conform(promotions, PROMOTIONS), expected)
+    signed = promotions.withColumns({
+        "promoted_by": F.coalesce("promoted_by", F.current_user()), "promoted_at": F.coalesce("promoted_at", F.current_timestamp())
+    })
+    return log.append(conform(signed, PROMOTIONS), expected)
 
 
 def fold_evaluation(

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import vectors as V
-from ..functions.scalars import detection_id
+from ..functions.scalars import box_area_fraction, detection_id
 from .skew import rank_in_groups
 
 Model = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -72,6 +72,21 @@ def detect_items(
     )
 
 
+def keep_boxes(
+    boxes: DataFrame, width: float, height: float, min_score: float = 0.40, min_area: float = 0.008
+) -> DataFrame:
+    """Boxes that a detector delivered (post_id, label, category, score, x1, y1, x2, y2) on images of one size.
+
+    Adds the share of the image that a box covers and a repeatable id; boxes below the floors go, and so do those
+    without a score or with corners the wrong way round. Expressions only, so a delivery is filtered as it is read.
+    """
+    share = box_area_fraction("x1", "y1", "x2", "y2", F.lit(width), F.lit(height))
+    kept = boxes.where("x2 > x1 AND y2 > y1").withColumn("area_frac", share)
+    return kept.where((F.col("score") >= min_score) & (F.col("area_frac") >= min_area)).select(
+        detection_id("post_id", "label", "x1", "y1").alias("detection_id"), "post_id", "category", "score", "x1", "y1", "x2", "y2", "area_frac"
+    )
+
+
 def best_box(detections: DataFrame) -> DataFrame:
     """The box with the largest area times score per image; folded before the shuffle."""
     others = [c for c in detections.columns if c != "post_id"]

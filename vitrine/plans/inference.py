@@ -9,7 +9,7 @@ from ..operators import infer
 from ..session import work_dir
 from ..sources import runs
 from .inputs import DIM
-from .models import box_detector, text_encoder
+from .models import text_encoder
 from .registry import query, rounded
 
 ENCODER = "bow:v2"
@@ -63,20 +63,26 @@ def merge_embeddings(i):
     return merged.groupBy("encoder_uri").agg(F.count(F.lit(1)).alias("n"))
 
 
+# A box per line item on an image of 200 x 200: where it lies follows from part and supplier, its size from quantity and tax.
+_BOX = [
+    "l_orderkey AS post_id", "cast(l_partkey % 7 AS int) AS label", "l_returnflag AS category", "round(l_discount * 10, 2) AS score",
+    "cast(l_partkey % 100 AS double) AS x1", "cast(l_suppkey % 100 AS double) AS y1",
+    "cast(l_partkey % 100 AS double) + l_quantity AS x2", "cast(l_suppkey % 100 AS double) + round(l_tax * 1000) AS y2",
+]
+
+
 @query(
     "detect_job",
-    """
+    f"""
 SELECT substr(sha256(concat_ws('|', post_id, label, printf('%.1f', x1), printf('%.1f', y1))), 1, 24) AS detection_id, post_id, category,
-       round(score, 6) AS score, x1, y1, x1 + w AS x2, y1 + h AS y2, round(w * h / 40000, 6) AS area_frac
-FROM (SELECT post_id, (post_id + nth) % 7 AS label, ['bag', 'bottom', 'dress', 'hat', 'outer', 'shoes', 'top'][(post_id + nth) % 7 + 1] AS category,
-             ((post_id + nth * 17) % 100) / 100.0::DOUBLE AS score, ((cust * 7 + nth * 13) % 100)::DOUBLE AS x1,
-             ((post_id * 3 + nth * 5) % 100)::DOUBLE AS y1, (10 + post_id % 90)::DOUBLE AS w, (10 + cust % 80)::DOUBLE AS h
-      FROM (SELECT o_orderkey AS post_id, o_custkey AS cust, unnest(range(o_orderkey % 4)) AS nth FROM orders) n) b
-WHERE score >= 0.4 AND w * h / 40000 >= 0.008""",
+       round(score, 6) + 0 AS score, x1, y1, x2, y2, round((x2 - x1) * (y2 - y1) / 40000::DOUBLE, 6) + 0 AS area_frac
+FROM (SELECT {", ".join(_BOX)} FROM lineitem) b
+WHERE x2 > x1 AND y2 > y1 AND score >= 0.4 AND (x2 - x1) * (y2 - y1) / 40000::DOUBLE >= 0.008""",
 )
 def detect_job(i):
-    images = i.raw("orders").select(F.col("o_orderkey").alias("post_id"), "o_custkey")
-    return rounded(infer.detect_items(images, box_detector, ["o_custkey"]), "score", "area_frac")
+    """Ids, areas and floors for the boxes of a delivery."""
+    boxes = i.raw("lineitem").selectExpr(*_BOX)
+    return rounded(infer.keep_boxes(boxes, 200.0, 200.0), "score", "area_frac")
 
 
 @query(
