@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import vectors as V
 from ..functions.scalars import hash_bucket
-from .blocks import SCORE_DIGITS, block_topk, merge_topk
+from .blocks import CATALOGUE_BLOCK, SCORE_DIGITS, block_topk, merge_topk
+from .skew import fetch_if_small
 
 SCALE = 1024
 STEP = 16
@@ -116,8 +117,8 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, product_id, score): approximate top ``k`` of the query's category, with exact cosines.
 
-    The lists asked for reach the scan as a dynamic partition filter. A list is an equi-key of the block join, so a
-    crowded list is cut into blocks. ``recall_k`` products per query are scored again. ``probes`` is a number of lists,
+    The lists asked for reach the scan as a dynamic partition filter. Parts of about a block's rows are the keys of the
+    block join, lists are matched inside them, and a crowded part is cut into blocks. ``recall_k`` products per query are scored again. ``probes`` is a number of lists,
     or below 1 the share of a category's lists: vectors without clusters need a share, clustered ones a few lists.
     """
     spark = queries.sparkSession
@@ -136,11 +137,15 @@ def search(
         centroids.select("list", "centroid"), "list"
     )
     guess = F.zip_with("code", "centroid", lambda x, c: c.cast("long") + x.cast("long") * STEP + STEP // 2)
+    # Lists are small, so about a block of them is matched in one call; a list stays whole.
+    parts = fetch_if_small(stored.groupBy("category").agg(F.ceil(F.count(F.lit(1)) / CATALOGUE_BLOCK).alias("_parts")))
+    part = F.pmod(F.xxhash64("list"), F.col("_parts")).alias("part")
+    sought = asked.join(probed, "query_id").join(parts, "category")
     recalled = merge_topk(
         block_topk(
-            asked.join(probed, "query_id").select("query_id", "category", "list", F.col("q").cast("array<bigint>").alias("embedding")),
-            near.select("product_id", "category", "list", guess.alias("embedding")),
-            recall_k, ["category", "list"], metric="dot", **blocks,
+            sought.select("query_id", "category", part, "list", F.col("q").cast("array<bigint>").alias("embedding")),
+            near.join(parts, "category").select("product_id", "category", part, "list", guess.alias("embedding")),
+            recall_k, ["category", "part"], metric="dot", within="list", **blocks,
         ),
         recall_k,
     )
