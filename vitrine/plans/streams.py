@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import work_dir
-from ..streaming import logs
+from ..streaming import changes, logs
 from .inference import _CHECK, _BOW, ENCODER, _checked, _embed
 from .inputs import EVENT_COLUMNS, Inputs
 from .registry import query, rounded, text_time
@@ -117,3 +117,38 @@ def stream_sync(i):
         arrivals = table_stream(i, "documents")
         logs.sync_embeddings(arrivals, f"{base}/store", _embed, f"{base}/checkpoint-{run}", stored)
     return _checked(logs.read_store(i.spark, f"{base}/store", stored).drop("run", "batch"))
+
+
+_FINAL = """
+SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 4 WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END AS seq,
+       CASE WHEN doc_id % 10 = 0 THEN 'restored ' || text WHEN doc_id % 3 = 0 THEN text || ' again' ELSE text END AS text
+FROM documents WHERE doc_id % 10 = 0 OR doc_id % 5 <> 0"""
+
+
+@query(
+    "stream_changes",
+    f"""
+WITH final AS ({_FINAL})
+SELECT doc_id, '{ENCODER}' AS encoder_uri, seq::BIGINT AS seq, {_CHECK} FROM ({_BOW.replace("documents", "final")}) b JOIN final USING (doc_id)""",
+)
+def stream_changes(i):
+    """Every document inserted, then some restored before their delete and some updated, each delivery a run of its own.
+
+    The deliveries come out of order: a restored document is known when its delete arrives, a deleted one when its older update does.
+    """
+    documents = i.raw("documents")
+    deliveries = [
+        [("true", 1, "upsert", "text")],
+        [("doc_id % 10 = 0", 4, "upsert", "concat('restored ', text)"), ("doc_id % 5 = 0", 3, "delete", "cast(NULL AS string)")],
+        [("doc_id % 3 = 0", 2, "upsert", "concat(text, ' again')")],
+    ]
+    base = work_dir(i.spark, "changes")
+    nothing = i.stored_documents().limit(0)
+    embedded = _embed(documents, nothing).schema
+    for n, delivery in enumerate(deliveries):
+        for m, (rows, seq, op, text) in enumerate(delivery):
+            delivered = documents.where(rows).selectExpr("doc_id", f"cast({seq} AS bigint) AS seq", f"'{op}' AS op", f"{text} AS text")
+            delivered.write.parquet(f"{base}/in/{n}-{m}")
+        stream = i.spark.readStream.schema(delivered.schema).parquet(f"{base}/in/*")
+        table = changes.apply_changes(stream, f"{base}/table", lambda items: _embed(items, nothing), embedded, "doc_id")
+    return _checked(table)
