@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from vitrine.llm import toxicity as T
 
@@ -45,6 +46,23 @@ def test_held_out_labels_are_not_read(spark):
     assert one == pytest.approx(other)
 
 
+def test_calibrating_rows_do_not_teach_the_lexicon(spark, monkeypatch):
+    rows, labels = corpus()
+    taught, learn = [], T.learn_lexicon
+
+    def spy(docs, labels, *rest):
+        taught.append({r[0] for r in labels.select("_label_id").collect()})
+        return learn(docs, labels, *rest)
+
+    monkeypatch.setattr(T, "learn_lexicon", spy)
+    got = T.score_toxicity(docs(spark, rows), labelled(spark, labels), trees=2)
+    assert got.count() == len(rows)
+    may = {i for i, y in labels if i is not None and y is not None and part(i, 5) != 0}
+    ids = spark.createDataFrame([(i,) for i in may], "i long")
+    calibrating = {r.i for r in ids.where(F.pmod(F.xxhash64("i", F.lit(T.SEED + 1)), F.lit(T.CALIBRATION_PART)) == 0).collect()}
+    assert calibrating and taught == [may - calibrating]
+
+
 @pytest.mark.parametrize("labels, score", [([], 0.0), ([(1, 1)], 1.0), ([(1, 0), (3, 0)], 0.0)])
 def test_without_both_labels(spark, labels, score):
     got = T.score_toxicity(docs(spark, awkward()), labelled(spark, labels)).collect()

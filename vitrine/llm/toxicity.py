@@ -137,8 +137,8 @@ def score_toxicity(
     """One row per input row: id, ``held_out``, ``score`` (0 to 1, calibrated) and ``predicted`` (1 if the score is at least 0.5).
 
     Labels of held-out ids (crc32 of the id as text a multiple of 5) are never read. A lexicon of word beginnings, boosted
-    trees over ``FEATURES`` and, on training rows of their own, an isotonic calibration of the trees' margin are
-    learned from the other labelled rows, at most ``train_rows`` of them. Inputs of a score are the features of the whole text only.
+    trees over ``FEATURES`` and an isotonic calibration of the trees' margin are learned from the other labelled rows, at most
+    ``train_rows`` of them. Rows that calibrate teach neither lexicon nor trees; only where one part would lack a class do all rows teach all. Inputs of a score are the features of the whole text only.
 
     Null texts are empty; an empty text has a score like any other. Without labelled rows of both classes, every score
     is the share of toxic labels (0 if there are none). Rows with null labels or null ids teach nothing.
@@ -149,11 +149,14 @@ def score_toxicity(
     taught = taught.where(F.col("_label").isNotNull() & F.col("_label_id").isNotNull() & ~held_out("_label_id"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     known = taught.join(rows.select("_id"), F.col("_id") == F.col("_label_id"), "left_semi")
-    share, kinds = known.agg(F.avg("_label"), F.count_distinct("_label")).first()
+    calibrating = F.pmod(F.xxhash64("_label_id", F.lit(SEED + 1)), F.lit(CALIBRATION_PART)) == 0
+    parts = known.groupBy(calibrating.alias("calibrating"), "_label").count().collect()  # four rows at most
+    share = sum(r["count"] for r in parts if r["_label"] == 1) / max(1, sum(r["count"] for r in parts))
+    kinds, apart = len({r["_label"] for r in parts}), len(parts) == 4
     if kinds < 2:
         named = rows.select(F.col("_id").alias(id_col), held_out("_id").alias("held_out"))
-        return named.withColumns({"score": F.lit(float(share or 0)), "predicted": F.lit(int((share or 0) >= 0.5))})
-    shared = spark.sparkContext.broadcast(Features(learn_lexicon(rows, taught, "_text")))
+        return named.withColumns({"score": F.lit(float(share)), "predicted": F.lit(int(share >= 0.5))})
+    shared = spark.sparkContext.broadcast(Features(learn_lexicon(rows, taught.where(~calibrating) if apart else taught, "_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = shared.value  # one for each worker process, with the weights it has looked up
@@ -163,9 +166,8 @@ def score_toxicity(
 
     dense = stored(rows.mapInArrow(run, with_fields(rows.schema["_id"], "features array<double>")), "toxic-features")
     vectors = dense.withColumn("x", array_to_vector("features"))
-    train = vectors.join(F.broadcast(_chosen(taught, train_rows)), F.col("_id") == F.col("_label_id")).select("_id", "x", F.col("_label").cast("double").alias("label"))
+    train = vectors.join(F.broadcast(_chosen(taught, train_rows)), F.col("_id") == F.col("_label_id")).select("_label_id", "x", F.col("_label").cast("double").alias("label"))
     train = stored(train, "toxic-train")
-    calibrating = F.pmod(F.xxhash64("_id", F.lit(SEED + 1)), F.lit(CALIBRATION_PART)) == 0
     fitted, held = train.where(~calibrating), train.where(calibrating)
     if fitted.agg(F.count_distinct("label")).first()[0] < 2 or held.agg(F.count_distinct("label")).first()[0] < 2:
         fitted = held = train  # too few labels to set some aside
