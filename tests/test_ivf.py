@@ -82,3 +82,29 @@ def test_survivors_are_rescored_without_a_join(spark):
     wide = lists(retrieve.two_stage_search(queries, catalogue, 500, 4, 5, business_weight=0.0))
     exact = lists(retrieve.exact_topk(queries, catalogue, 5))
     assert {q: [p for p, _ in v] for q, v in wide.items()} == {q: [p for p, _ in v] for q, v in exact.items()}
+
+
+def test_a_share_of_lists_is_asked_without_listing_them(spark, monkeypatch):
+    catalogue, queries = frame(spark, clustered(300, 10), "product_id"), frame(spark, clustered(40, 11) + [(50, "unknown", [1.0] * DIM)], "query_id")
+    path = work_dir(spark, "test-index")
+    centroids = ivf.build(catalogue, path, DIM, rows_per_list=10)
+    asked = queries.withColumn("q", ivf.integer_unit())
+    of = {}
+    for r in centroids.collect():
+        of.setdefault(r["category"], []).append((r["list"], np.array(r["centroid"], dtype=np.int64)))
+    members = {}
+    for r in ivf.lists_of(spark, path).collect():
+        members.setdefault(r["list"], []).append((r["product_id"], np.array(r["code"], dtype=np.int64), np.array(r["embedding"])))
+    want = {}
+    for r in asked.where("category <> 'unknown'").collect():
+        q, v = np.array(r["q"], dtype=np.int64), np.array(r["embedding"])
+        ranked = sorted(of[r["category"]], key=lambda x: (x[1] @ x[1] - 2 * (q @ x[1]), x[0]))[: int(np.ceil(len(of[r["category"]]) * 0.5))]
+        coded = sorted((-(q @ (c + code * ivf.STEP + ivf.STEP // 2)), p, -round(v @ e / np.sqrt((v @ v) * (e @ e)), 12)) for n, c in ranked for p, code, e in members[n])
+        want[r["query_id"]] = [p for _, p in sorted((s, p) for _, p, s in coded[:15])][:5]
+    monkeypatch.setattr(ivf, "nearest_lists", None)  # a row per query and list is what this search does without
+    for blocks in (8_192, 16):
+        monkeypatch.setattr(ivf, "QUERY_BLOCK", blocks)
+        monkeypatch.setattr(ivf, "CATALOGUE_BLOCK", blocks)
+        got = lists(ivf.search(queries, path, 5, probes=0.5, recall_k=15))
+        assert {q: [p for p, _ in found] for q, found in got.items()} == want
+    assert ivf.last_probed(asked, spark.read.parquet(f"{path}/centroids"), 0.5).count() == 40

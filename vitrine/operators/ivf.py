@@ -14,11 +14,20 @@ answers nothing. All vectors of a category have one dimension.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import vectors as V
 from ..functions.scalars import hash_bucket
-from .blocks import CATALOGUE_BLOCK, SCORE_DIGITS, block_topk, merge_topk
+from .blocks import (
+    _TILE_CELLS, CATALOGUE_BLOCK, QUERY_BLOCK, SCORE_DIGITS, _arrow_schema, _best_per_row, _block_of, _blocks, _cosines, _every, _matrix,
+    block_topk, merge_topk,
+)
 from .skew import fetch_if_small
 
 SCALE = 1024
@@ -112,6 +121,103 @@ def lists_of(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return reader.parquet(f"{path}/lists")
 
 
+def _near_and_far(asked: np.ndarray, centroids: np.ndarray):
+    """(first row, scores) of some rows of ``asked`` at a time: larger for a nearer centroid. Integers, so doubles hold them exactly."""
+    squares = np.einsum("ij,ij->i", centroids, centroids)
+    step = max(1, _TILE_CELLS // max(1, len(centroids)))
+    for start in range(0, len(asked) if len(centroids) else 0, step):
+        yield start, 2 * (asked[start : start + step] @ centroids.T) - squares
+
+
+def last_probed(asked: DataFrame, centroids: DataFrame, share: float) -> DataFrame:
+    """(query_id, category, cut, cut_list): score and number of the last list that a query asks, which is one row per query for any number of lists.
+
+    Of a category's lists the nearest ``share`` is asked, the smaller list first in a tie. A block of queries meets all centroids of its
+    category, about two bytes per component and list.
+    """
+    sizes = fetch_if_small(asked.groupBy("category").agg(_blocks(F.count(F.lit(1)), QUERY_BLOCK).alias("_nq")))
+    small = "array<smallint>"
+    q = asked.join(sizes, "category").select(F.col("query_id").alias("_q"), F.col("category").alias("_qc"), _block_of("query_id", "_nq").alias("_qb"), F.col("q").cast(small).alias("_v"))
+    c = centroids.join(sizes, "category").select(F.col("list").alias("_l"), F.col("category").alias("_cc"), _every("_nq").alias("_cb"), F.col("centroid").cast(small).alias("_c"))
+    out = StructType().add("query_id", q.schema["_q"].dataType).add("category", q.schema["_qc"].dataType).add("cut", "double").add("cut_list", c.schema["_l"].dataType)
+    schema = pa.schema(_arrow_schema(q.select(F.col("_q").alias("query_id"), F.col("_qc").alias("category"), F.lit(0.0).alias("cut")), c.select(F.col("_l").alias("cut_list"))))
+
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        right = right.take(pc.sort_indices(right.column("_l")))
+        most = math.ceil(right.num_rows * share)
+        cuts, at = [], []
+        for _, scores in _near_and_far(_matrix(left, "_v").astype(np.float64), _matrix(right, "_c").astype(np.float64)):
+            cut = -np.partition(-scores, most - 1, axis=1)[:, most - 1]
+            needed = most - (scores > cut[:, None]).sum(axis=1)
+            cuts.append(cut)
+            at.append((np.cumsum(scores == cut[:, None], axis=1) >= needed[:, None]).argmax(axis=1))
+        last = right.column("_l").take(pa.array(np.concatenate(at)))
+        return pa.table([left.column("_q"), left.column("_qc"), pa.array(np.concatenate(cuts)), last], names=schema.names)
+
+    return q.groupBy("_qc", "_qb").cogroup(c.groupBy("_cc", "_cb")).applyInArrow(find, out)
+
+
+def _search_share(asked: DataFrame, centroids: DataFrame, stored: DataFrame, k: int, share: float, recall_k: int) -> DataFrame:
+    """``search`` where a share of all lists is asked: blocks of queries meet blocks of products, and inside them only lists up to a query's last one.
+
+    So a query is one row per block of products however many lists it asks, and a block, which has the whole vectors as well, gives the
+    survivors' cosines. Listing (query, list) pairs would take space with the square of the table.
+    """
+    rows = asked.select("category", F.lit(1).alias("_q"), F.lit(0).alias("_p")).unionByName(stored.select("category", F.lit(0).alias("_q"), F.lit(1).alias("_p")))
+    sizes = fetch_if_small(
+        rows.groupBy("category").agg(_blocks(F.sum("_q"), QUERY_BLOCK).alias("_nq"), _blocks(F.sum("_p"), CATALOGUE_BLOCK).alias("_np")).where("_nq > 0 AND _np > 0")
+    )
+    small = "array<smallint>"
+    cuts = last_probed(asked, centroids, share).drop("category")
+    q = asked.join(cuts, "query_id").join(sizes, "category").select(
+        F.col("query_id").alias("_q"), F.col("category").alias("_qc"), _block_of("query_id", "_nq").alias("_qb"), _every("_np").alias("_pb"),
+        "cut", "cut_list", F.col("q").cast(small).alias("_i"), F.col("embedding").alias("_v"),
+    )
+    # Centroids join by list as well: where they are too many to be sent to all tasks, no category meets in one.
+    listed = stored.join(centroids.select("category", "list", "centroid"), ["category", "list"]).join(sizes, "category")
+    p = listed.select(
+        F.col("product_id").alias("_p"), F.col("category").alias("_pc"), _every("_nq").alias("_qb2"), _block_of("product_id", "_np").alias("_pb2"),
+        "list", "code", F.col("centroid").cast(small).alias("_c"), F.col("embedding").alias("_e"),
+    )
+    out = StructType().add("query_id", q.schema["_q"].dataType).add("product_id", p.schema["_p"].dataType).add("score", "double").add("full_score", "double")
+    one = F.lit(0.0)
+    schema = pa.schema(_arrow_schema(q.select(F.col("_q").alias("query_id")), p.select(F.col("_p").alias("product_id"), one.alias("score"), one.alias("full_score"))))
+
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        right = right.take(pc.sort_indices(right.column("_p")))
+        lists, first, own = np.unique(right.column("list").to_numpy(), return_index=True, return_inverse=True)
+        centres = _matrix(right, "_c")
+        guess = (centres + _matrix(right, "code").astype(np.int32) * STEP + STEP // 2).astype(np.float64)
+        whole = _matrix(left, "_i").astype(np.float64)
+        cut, cut_list = left.column("cut").to_numpy(), left.column("cut_list").to_numpy()
+        found = []
+        step = max(1, _TILE_CELLS // len(guess))
+        for at, near in _near_and_far(whole, centres[first].astype(np.float64)):
+            some = slice(at, at + len(near))
+            asks = (near > cut[some, None]) | ((near == cut[some, None]) & (lists <= cut_list[some, None]))
+            for start in range(0, len(asks), step):
+                allowed = asks[start : start + step][:, own]
+                scores = np.where(allowed, whole[at + start : at + start + len(allowed)] @ guess.T, -np.inf)
+                i, j, vals = _best_per_row(scores, recall_k)
+                kept = vals > -np.inf
+                found.append((at + start + i[kept], j[kept], vals[kept]))
+        i, j, vals = (np.concatenate(x) for x in zip(*found))
+        cosines = _cosines(_matrix(left, "_v"), _matrix(right, "_e"), i, j)
+        return pa.table([left.column("_q").take(pa.array(i)), right.column("_p").take(pa.array(j)), pa.array(vals), pa.array(cosines)], names=schema.names)
+
+    pairs = q.groupBy("_qc", "_qb", "_pb").cogroup(p.groupBy("_pc", "_qb2", "_pb2")).applyInArrow(find, out)
+    recalled = merge_topk(pairs, recall_k, ["full_score"])
+    return merge_topk(recalled.select("query_id", "product_id", F.round("full_score", SCORE_DIGITS).alias("score")), k)
+
+
+def _repeats(df: DataFrame, id_column: str) -> bool:
+    return not df.groupBy(id_column).count().where("count > 1").isEmpty()
+
+
 def search(
     queries: DataFrame, path: str, k: int, probes: int | float = 8, recall_k: int = 100, **blocks
 ) -> DataFrame:
@@ -119,11 +225,15 @@ def search(
 
     The lists asked for reach the scan as a dynamic partition filter. Parts of about a block's rows are the keys of the
     block join, lists are matched inside them, and a crowded part is cut into blocks. ``recall_k`` products per query are scored again. ``probes`` is a number of lists,
-    or below 1 the share of a category's lists: vectors without clusters need a share, clustered ones a few lists.
+    or below 1 the share of a category's lists: vectors without clusters need a share, clustered ones a few lists. A share is searched
+    in blocks of the whole category (``_search_share``); repeated ids, which the rules above exclude, still take the way by pairs.
     """
     spark = queries.sparkSession
     centroids = spark.read.parquet(f"{path}/centroids")
     asked = queries.where(F.col("embedding").isNotNull()).withColumn("q", integer_unit()).where("q IS NOT NULL")
+    stored = lists_of(spark, path)
+    if probes < 1 and not _repeats(asked, "query_id") and not _repeats(stored, "product_id"):
+        return _search_share(asked, centroids, stored, k, probes, recall_k)
     if probes < 1:
         counts = centroids.groupBy("category").agg(F.ceil(F.count(F.lit(1)) * F.lit(probes)).alias("_most"))
         most = counts.agg(F.max("_most")).first()[0] or 1
@@ -131,7 +241,6 @@ def search(
         probed = nearest.join(counts, "category").where("place <= _most").select("query_id", "list")
     else:
         probed = nearest_lists(asked, centroids, probes, "query_id").drop("place")
-    stored = lists_of(spark, path)
     wanted = probed.select("list").distinct()
     near = stored.select("product_id", "category", "list", "code").join(wanted, "list").join(
         centroids.select("list", "centroid"), "list"
