@@ -3,6 +3,8 @@ import pandas as pd
 import pytest
 
 from vitrine.operators import infer
+from vitrine.plans import inference
+from vitrine.plans.inputs import Inputs
 from vitrine.plans.models import text_encoder
 
 
@@ -121,3 +123,15 @@ def test_delivered_boxes(spark):
     assert [(r["post_id"], r["area_frac"]) for r in kept if r["post_id"] != 2] == [(1, 0.1)]
     assert [r["area_frac"] for r in kept if r["post_id"] == 2] == [0.008]
     assert infer.keep_boxes(boxes, 100.0, 100.0).select("detection_id").distinct().count() == 2
+
+
+def test_detect_job_runs_the_detector_over_every_image(spark, tmp_path):
+    rows = [(n, n * 3) for n in range(1, 400)] + [(None, 5), (7, None), (-3, 8), (403, -9)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    found = inference.detect_job(Inputs(spark, str(tmp_path))).collect()
+    want = [
+        (post, ((cust * 7 + k * 13) % 100) * 1.0, ((post * 3 + k * 5) % 100) * 1.0)
+        for post, cust in rows if post and cust and post > 0 and cust > 0 for k in range(post % 4)
+        if (post + k * 17) % 100 >= 40 and (10 + post % 90) * (10 + cust % 80) >= 320
+    ]
+    assert sorted((r["post_id"], r["x1"], r["y1"]) for r in found if r["post_id"] != 403) == sorted(want)
