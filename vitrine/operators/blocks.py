@@ -19,10 +19,11 @@ from .skew import SMALL_TABLE_ROWS, fetch_if_small
 
 SCORE_DIGITS = 12
 ROUNDING = 10.0**-SCORE_DIGITS
-QUERY_BLOCK = 2_048
-CATALOGUE_BLOCK = 16_384
-DUPLICATE_BLOCK = 32_768
-_TILE_CELLS = 4_000_000
+# Every row is sent once per block of the other side, so blocks of like size move the fewest rows for the memory of a task.
+QUERY_BLOCK = 8_192
+CATALOGUE_BLOCK = 8_192
+DUPLICATE_BLOCK = 16_384
+_TILE_CELLS = 500_000
 
 
 def _matrix(table: pa.Table, name: str) -> np.ndarray:
@@ -37,10 +38,12 @@ def _matrix(table: pa.Table, name: str) -> np.ndarray:
 
 def _unit_rows(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Normalised rows and the positions of the rows whose norm is not zero."""
-    m = m.astype(np.float64)
+    m = np.asarray(m, dtype=np.float64)
     norms = np.sqrt(np.einsum("ij,ij->i", m, m))
     keep = np.flatnonzero(norms > 0)
-    return m[keep] / norms[keep, None], keep
+    if len(keep) < len(m):
+        m, norms = m[keep], norms[keep]
+    return m / norms[:, None], keep
 
 
 def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
@@ -66,7 +69,7 @@ def _prepare(table: pa.Table, vector: str, metric: str, view: tuple[str, int] |
         return _unit_rows(m)
     if metric == "hamming":
         return m.astype(np.uint64), np.arange(len(m))  # bit counts of signed words would be those of their absolute value
-    return m.astype(np.float64), np.arange(len(m))
+    return np.asarray(m, dtype=np.float64), np.arange(len(m))
 
 
 def _matches(a: pa.Table, b: pa.Table, a_at: np.ndarray, b_at: np.ndarray, finer: tuple[str, str] | None):
@@ -108,7 +111,7 @@ def _best_per_row(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _cosines(q: np.ndarray, c: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """Cosine of the listed pairs, a bounded number at a time; 0 where a vector is zero."""
-    q, c = q.astype(np.float64), c.astype(np.float64)
+    q, c = np.asarray(q, dtype=np.float64), np.asarray(c, dtype=np.float64)
     norms = [np.sqrt(np.einsum("ij,ij->i", m, m)) for m in (q, c)]
     out = np.zeros(len(rows))
     step = max(1, _TILE_CELLS // max(1, q.shape[1]))
