@@ -1,8 +1,30 @@
 """What a task holds at a time and what is sent between tasks."""
 
 import numpy as np
+from vitrine.operators import blocks, retrieve
 
-from vitrine.operators import blocks
+
+
+def test_crowded_buckets_send_a_vector_once(spark):
+    rng = np.random.RandomState(3)
+    rows = [(n, "ab"[n % 3 == 0], [float(x) for x in rng.standard_normal(6)]) for n in range(240)]
+    catalogue = spark.createDataFrame([*rows, (900, "a", None)], "product_id long, category string, embedding array<double>")
+    queries = catalogue.withColumnRenamed("product_id", "query_id").where("query_id % 4 = 0")
+    given = dict(dim=6, bits=3, tables=2, probes=4)
+    got = retrieve.ann_topk(queries, catalogue, 5, query_block=16, catalogue_block=16, **given)
+    assert "lsh_table" not in got._jdf.queryExecution().analyzed().toString()
+    # The pairs that share a bucket, listed.
+    c, q = retrieve.with_buckets(catalogue, "product_id", 6, 3, 2), retrieve.with_buckets(queries, "query_id", 6, 3, 2, 4)
+    met = {tuple(r) for r in q.join(c, ["category", "lsh_table", "lsh_bucket"]).select("query_id", "product_id").distinct().collect()}
+    exact = retrieve.exact_topk(queries, catalogue, 1000).collect()
+    want = {}
+    for r in sorted(exact, key=lambda r: r["rank"]):
+        if (r["query_id"], r["product_id"]) in met and len(want.setdefault(r["query_id"], [])) < 5:
+            want[r["query_id"]].append(r["product_id"])
+    found = {}
+    for r in got.orderBy("rank").collect():
+        found.setdefault(r["query_id"], []).append(r["product_id"])
+    assert found == want and len(met) < len(exact)
 
 
 def test_blocks_of_both_sides_are_alike():

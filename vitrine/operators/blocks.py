@@ -89,6 +89,15 @@ def _matches(a: pa.Table, b: pa.Table, a_at: np.ndarray, b_at: np.ndarray, finer
         yield ao[a0:a1], bo[b0:b1]
 
 
+def _agree(asked: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which rows and columns have a number in common in some table; ``asked`` is (row, table, number), ``own`` (column, table)."""
+    met = np.zeros((len(asked), len(own)), dtype=bool)
+    for table in range(asked.shape[1]):
+        for nth in range(asked.shape[2]):
+            met |= asked[:, table, nth, None] == own[None, :, table]
+    return met
+
+
 def _best_per_row(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, score) of the k best columns per row; the lower column wins a tie.
 
@@ -149,13 +158,16 @@ def block_topk(
     within: str | None = None,
     view: tuple[str, int] | None = None,
     carry: list[str] | None = None,
+    shared: str | None = None,
 ) -> DataFrame:
     """(query, product, score): at most ``k`` survivors per query and catalogue block.
 
     ``metric`` is ``cosine``, ``dot`` or ``hamming`` (negated distance over packed
     words). Rows without a vector take no part. Ids must be unique on each side
     of a key. ``within`` is a finer integer key that must agree as well; its many
-    small groups are matched inside a block instead of being one task call each.
+    small groups are matched inside a block instead of being one task call each. ``shared`` is an array of small integers,
+    one per hash table on the catalogue's side and equally many per table on the queries'; only pairs that agree in some
+    table are found, and a vector is sent once for all its tables.
 
     With ``view`` the survivors are chosen by a part of the vectors, (``prefix``, n) for their first n components or
     (``signs``, n) for those components' signs, and ``full_score`` is their cosine over the whole vectors: the block
@@ -165,6 +177,7 @@ def block_topk(
     # Aliases give both sides columns of their own, even when they stem from one table.
     named = [F.col(k).alias(f"_key_{k}") for k in keys]
     finer = [F.col(within).alias("_w")] if within else []
+    finer += [F.col(shared).alias("_s")] if shared else []
     q = queries.where(F.col(vector).isNotNull()).select(
         F.col(query_id).alias("_q"), *named, *finer, F.col(vector).alias("_v")
     )
@@ -184,7 +197,7 @@ def block_topk(
         .where((F.col("_nq") > 0) & (F.col("_nc") > 0)),
         small_limit,
     )
-    grid, carried = [*keys, "_qb", "_cb"], ["_w"] if within else []
+    grid, carried = [*keys, "_qb", "_cb"], ["_w"] * bool(within) + ["_s"] * bool(shared)
     q = (
         q.join(sizes, keys)
         .withColumn("_qb", _block_of("_q", "_nq"))
@@ -212,12 +225,20 @@ def block_topk(
             right = right.take(pc.sort_indices(right.column("_p")))
             qm, q_at = _prepare(left, "_v", metric, view)
             cm, c_at = _prepare(right, "_v", metric, view)
+            if shared:
+                own = _matrix(right, "_s")[c_at]
+                asked = _matrix(left, "_s")[q_at].reshape(len(q_at), own.shape[1], -1)
             for q_rows, c_rows in _matches(left, right, q_at, c_at, ("_w", "_w") if within else None):
                 cells = max(1, len(c_rows)) * (cm.shape[1] if metric == "hamming" else 1)
                 tile = max(1, _TILE_CELLS // cells)
                 for start in range(0, len(q_rows) if len(c_rows) else 0, tile):
                     some = q_rows[start : start + tile]
-                    rows, cols, vals = _best_per_row(_scores(qm[some], cm[c_rows], metric), k)
+                    scores = _scores(qm[some], cm[c_rows], metric)
+                    if shared:
+                        scores = np.where(_agree(asked[some], own[c_rows]), scores, -np.inf)
+                    rows, cols, vals = _best_per_row(scores, k)
+                    if shared:
+                        rows, cols, vals = (x[vals != -np.inf] for x in (rows, cols, vals))
                     found_q.append(q_at[some[rows]])
                     found_p.append(c_at[c_rows[cols]])
                     found_s.append(vals)

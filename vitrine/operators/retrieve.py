@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, ShortType, StructType
 
 from ..functions import vectors as V
 from .blocks import CATALOGUE_BLOCK, SCORE_DIGITS, block_topk, merge_topk
@@ -154,6 +154,47 @@ def binary_rerank(
     return _best_of_recalled(partial, recall_k, final_k, 0.0).drop("vector_score")
 
 
+def _pieces(batches, rows: int = 1_000):
+    """Batches of at most ``rows`` rows, so that what is made of one at a time stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def _hasher(dim: int, bits: int, tables: int, probes: int, seed: int):
+    """A function from a column of vectors to their buckets: (row, table, probe), the own one first."""
+    planes = np.random.RandomState(seed).standard_normal((dim, tables * bits))
+
+    def buckets_of(vectors: pa.Array) -> np.ndarray:
+        weights = 1 << np.arange(bits, dtype=np.int64)
+        m = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+        margin = (m @ planes).reshape(len(m), tables, bits)
+        own = ((margin > 0) * weights).sum(axis=2)
+        flips = np.argsort(np.abs(margin), axis=2, kind="stable")[:, :, : probes - 1]
+        return np.concatenate([own[:, :, None], own[:, :, None] ^ weights[flips]], axis=2)
+
+    return buckets_of
+
+
+def with_codes(df: DataFrame, id_column: str, dim: int, bits: int, tables: int, probes: int = 1, seed: int = 7) -> DataFrame:
+    """The buckets of ``with_buckets`` as one array ``lsh_codes`` per row, table after table; for up to 15 bits."""
+    columns = [id_column, "category", "embedding"]
+    base = df.where(F.col("embedding").isNotNull()).select(*columns)
+    schema = StructType([*base.schema.fields]).add("lsh_codes", ArrayType(ShortType()))
+    buckets_of = _hasher(dim, bits, tables, probes, seed)
+
+    def assign(batches):
+        for batch in _pieces(batches):
+            codes = buckets_of(batch.column("embedding")).astype(np.int16).reshape(batch.num_rows, -1)
+            offsets = np.arange(0, codes.size + 1, codes.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.select(columns).columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes.ravel()))],
+                names=[*columns, "lsh_codes"],
+            )
+
+    return base.mapInArrow(assign, schema)
+
+
 def with_buckets(
     df: DataFrame, id_column: str, dim: int, bits: int, tables: int, probes: int = 1, seed: int = 7
 ) -> DataFrame:
@@ -162,25 +203,17 @@ def with_buckets(
     A bucket collects the sign bits of ``bits`` projections. Further probes flip
     the bits with the smallest margins, one at a time.
     """
-    planes = np.random.RandomState(seed).standard_normal((dim, tables * bits))
     columns = [id_column, "category", "embedding"]
     base = df.where(F.col("embedding").isNotNull()).select(*columns)
     schema = StructType([*base.schema.fields]).add("lsh_table", IntegerType()).add("lsh_bucket", LongType())
+    buckets_of = _hasher(dim, bits, tables, probes, seed)
 
     def assign(batches):
-        weights = 1 << np.arange(bits, dtype=np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = batch.column("embedding")
-            m = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
-            margin = (m @ planes).reshape(len(m), tables, bits)
-            own = ((margin > 0) * weights).sum(axis=2)
-            flips = np.argsort(np.abs(margin), axis=2, kind="stable")[:, :, : probes - 1]
-            buckets = np.concatenate([own[:, :, None], own[:, :, None] ^ weights[flips]], axis=2)
+        for batch in _pieces(batches):
+            buckets = buckets_of(batch.column("embedding"))
             n_probes = buckets.shape[2]
-            take = pa.array(np.repeat(np.arange(len(m)), tables * n_probes))
-            table = np.tile(np.repeat(np.arange(tables, dtype=np.int32), n_probes), len(m))
+            take = pa.array(np.repeat(np.arange(len(buckets)), tables * n_probes))
+            table = np.tile(np.repeat(np.arange(tables, dtype=np.int32), n_probes), len(buckets))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(take) for c in columns), pa.array(table), pa.array(buckets.ravel())],
                 names=[*columns, "lsh_table", "lsh_bucket"],
@@ -219,9 +252,16 @@ def ann_topk(
     A bucket is one more equi-key of the blocked join, so crowded buckets are cut
     into blocks like any other hot key. About ``tables * probes / 2**bits`` of a
     category is scored per query: add bits as the catalogue grows, and tables or
-    probes for recall (``recall_against`` measures it).
+    probes for recall (``recall_against`` measures it). Where that is more than the
+    whole category, a vector is sent once with all its buckets instead of once per
+    table and probe, and the block compares them.
     """
     allowed = metadata_filter(catalogue, in_stock_only, region)
+    if tables * probes >= 2**bits and bits <= 15 and allowed.groupBy("product_id").count().where("count > 1").isEmpty():
+        c = with_codes(allowed, "product_id", dim, bits, tables, 1, seed)
+        q = with_codes(queries, "query_id", dim, bits, tables, probes, seed)
+        found = block_topk(q, c, k, ["category"], shared="lsh_codes", **blocks)
+        return merge_topk(found.groupBy("query_id", "product_id").agg(F.max("score").alias("score")), k)
     parts = bucket_parts(allowed, bits)
     c = with_parts(with_buckets(allowed, "product_id", dim, bits, tables, 1, seed), parts)
     q = with_parts(with_buckets(queries, "query_id", dim, bits, tables, probes, seed), parts)
