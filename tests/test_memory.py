@@ -1,8 +1,22 @@
 """What a task holds at a time and what is sent between tasks."""
 
 import numpy as np
-from vitrine.operators import blocks, retrieve
+import pandas as pd
+from pyspark.sql import functions as F
 
+from vitrine.operators import blocks, infer, retrieve
+from vitrine.plans.models import text_encoder
+
+
+
+def test_a_model_gets_few_rows_at_a_time(spark):
+    seen = lambda batches: (pd.DataFrame({"doc_id": b["doc_id"], "embedding": [[float(len(b))]] * len(b)}) for b in batches)
+    items = spark.range(3000).selectExpr("id AS doc_id", "concat('word ', id) AS text").coalesce(1)
+    nothing = spark.createDataFrame([], "doc_id long, encoder_uri string")
+    made = infer.embed_incremental(items, nothing, seen, "m", "doc_id", ["text"])
+    row = made.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"), F.max(F.col("embedding")[0]).alias("most")).first()
+    assert (row["n"], row["ids"]) == (3000, 3000) and row["most"] <= infer.MODEL_ROWS
+    assert infer.embed_incremental(items, nothing, text_encoder, "m", "doc_id", ["text"]).schema["embedding"].dataType.simpleString() == "array<double>"
 
 
 def test_crowded_buckets_send_a_vector_once(spark):
