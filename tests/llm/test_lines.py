@@ -251,6 +251,35 @@ def test_rounds_hold_like_parts_of_all_classes(monkeypatch):
         assert len(L.rounds(chars)) <= 2 * L.ROUNDS + len(chars)
 
 
+def test_any_number_of_rounds_joins_every_window(spark, monkeypatch):
+    """The rounds of a class are dealt by cell and hash; whatever their number, each pair of a segment and a window meets in one of them."""
+    rng, norms = random.Random(15), []
+    for _ in range(6):
+        line = "".join(rng.choice("abcdefghijklm ") for _ in range(100))
+        norms += [line, line[:45] + "#" + line[46:], "#" + line[1:-1] + "#"]
+    lines = spark.createDataFrame([(k, k, n) for k, n in enumerate(norms)], "key long, team long, norm string")
+    lines = lines.withColumns({"bag": L.letters(F.col("norm")), "class": L._step(F.length("norm"), 0.9)}).cache()
+    steps = [r[0] for r in lines.select("class").distinct().collect()]
+
+    def met(n):
+        found = {}
+        for i in range(n):
+            for r in L._seeds(lines, 0.9, steps, n, i).collect():
+                found[r.a, r.b] = found.get((r.a, r.b), 0) + r._places
+        return found
+
+    whole = met(1)
+    assert len(whole) >= 18 and sum(whole.values()) > 100
+    for n in (2, 3, 4, 5, 6):
+        assert met(n) == whole
+    monkeypatch.setattr(L, "LEAST_ROUND", 1)
+    for k in range(1, 60):
+        rounds = [(n, i) for (step, *_), n, i in L.rounds({1: k, 2: 60 - k}) if step == 1]
+        dealt = [tuple(L._part(n, i).items()) for n, i in rounds]
+        cells, hashes = L._part(*rounds[0]).values()
+        assert len({*dealt}) == len(rounds) == cells[0] * hashes[0]
+
+
 def test_many_rounds_find_the_same_links_and_leave_no_shuffle_files(spark, monkeypatch):
     """The rows of the exact join are many times the lines; no more than a part of them may lie on the disks at a time."""
     rng, letters, norms = random.Random(14), "abcdefghijklmnopqrstuvwxyz ", []
