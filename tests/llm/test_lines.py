@@ -301,6 +301,34 @@ def test_many_rounds_find_the_same_links_and_leave_no_shuffle_files(spark, monke
     assert inside == ["true"] and spark.conf.get(L.CLEANUP) == before
 
 
+def test_only_one_round_of_lines_and_pairs_is_stored(spark, monkeypatch):
+    """Pairs grow faster than the lines: those of a round give way to those of the next, and many are compared in parts."""
+    rng, letters, norms = random.Random(16), "abcdefghijklmnopqrstuvwxyz ", []
+    for size in (60, 150):
+        line = "".join(rng.choice(letters) for _ in range(size))
+        norms += [line, *[edited(rng, line, size // 10 + n, letters) for n in (-3, -2, -1, 0, 0, 2)]]
+    norms = [n for n in dict.fromkeys(norms) if n]
+    near = {frozenset((i, j)) for i, a in enumerate(norms) for j, b in enumerate(norms[:i]) if distance(a, b) <= max(len(a), len(b)) // 10}
+    lines = spark.createDataFrame([(k, k, n) for k, n in enumerate(norms)], "key long, team long, norm string")
+    paths, pairs, compared = {}, [], []
+
+    def seen(f, to):
+        def counted(*a):
+            to.append((df := f(*a)).count())
+            return df
+        return counted
+
+    monkeypatch.setattr(L, "LEAST_ROUND", 400)
+    monkeypatch.setattr(L, "LEAST_PAIRED", 1, raising=False)
+    monkeypatch.setattr(L, "work_dir", lambda spark, purpose, f=L.work_dir: paths.setdefault(purpose, f(spark, purpose)))
+    monkeypatch.setattr(L, "_seeds", seen(L._seeds, pairs))
+    monkeypatch.setattr(L, "_similar", seen(L._similar, compared))
+    assert {frozenset(r) for r in L.missed_links(lines).select("a", "b").collect()} == near and len(near) > 5
+    assert len([n for n in pairs if n]) > 2 and spark.read.parquet(paths["line-seeds"]).count() == pairs[-1] < sum(pairs)
+    assert 0 < spark.read.parquet(paths["line-classes"]).count() < len(norms)
+    assert len(compared) > len(pairs)
+
+
 def test_less_than_a_joined_row_for_each_character(spark):
     rng = random.Random(12)
     norms = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)) for size in (60, 150, 240, 900) for _ in range(5)]
