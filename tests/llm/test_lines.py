@@ -320,13 +320,22 @@ def test_only_one_round_of_lines_and_pairs_is_stored(spark, monkeypatch):
 
     monkeypatch.setattr(L, "LEAST_ROUND", 400)
     monkeypatch.setattr(L, "LEAST_PAIRED", 1, raising=False)
+    monkeypatch.setattr(L, "MET", 1 / 1000, raising=False)
+    monkeypatch.setattr(L, "SPLITS", 1, raising=False)
     monkeypatch.setattr(L, "work_dir", lambda spark, purpose, f=L.work_dir: paths.setdefault(purpose, f(spark, purpose)))
     monkeypatch.setattr(L, "_seeds", seen(L._seeds, pairs))
     monkeypatch.setattr(L, "_similar", seen(L._similar, compared))
     assert {frozenset(r) for r in L.missed_links(lines).select("a", "b").collect()} == near and len(near) > 5
     assert len([n for n in pairs if n]) > 2 and spark.read.parquet(paths["line-seeds"]).count() == pairs[-1] < sum(pairs)
     assert 0 < spark.read.parquet(paths["line-classes"]).count() < len(norms)
-    assert len(compared) > len(pairs)
+    assert len(compared) > len([n for n in pairs if n])
+    steps = {r[0]: r[1] for r in lines.groupBy(L._step(F.length("norm"), 0.9)).agg(F.sum(F.length("norm"))).collect()}
+    assert len(pairs) > len(L.rounds(steps))
+    parts = lambda n, i: {(c, h) for c in range(4) for h in range(24) if L._part(n, i) == {"cells": (k := L._part(n, i)["cells"][0], c * k // 4), "hashes": (m := n // k, h % m)}}
+    for n in (1, 2, 4, 8, 12):
+        for i in range(n):
+            assert parts(n, i) == set().union(*[parts(*x) for x in L._split(n, i)])
+            assert sum(len(parts(*x)) for x in L._split(n, i)) == len(parts(n, i)) > 0
 
 
 def test_less_than_a_joined_row_for_each_character(spark):
